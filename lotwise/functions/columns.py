@@ -39,9 +39,9 @@ def is_finite(c: Column | str) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
-def edge_bin(value: Column, inner_edges: Sequence[float]) -> Column:
+def edge_bin(value: Column, inner_edges: Sequence[float | Column]) -> Column:
     """Number of inner edges at or below the value: bins [a, b), open outer ends, repeated edges allowed."""
-    return reduce(lambda a, b: a + b, [(value >= F.lit(float(e))).cast("int") for e in inner_edges], F.lit(0))
+    return reduce(lambda a, b: a + b, [(value >= e).cast("int") for e in inner_edges], F.lit(0))
 
 
 def width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:

@@ -104,23 +104,29 @@ def fit_reference(
 
 
 def _histogram(df: DataFrame, edges: dict[str, Sequence[float]], kind: str, bins: int, by: Sequence[str]) -> DataFrame:
-    """(by, feature, n, mean, std, hist): moments and bin counts of all features in one shuffle."""
-    parts: list[Column] = []
-    for f, e in edges.items():
-        value = F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))
-        where = edge_bin(value, e) if kind == QUANTILE else width_bin(value, F.lit(e[0]), F.lit(e[-1]), bins)
-        parts += [F.lit(f), value, where]
-    long = df.select(*by, F.stack(F.lit(len(edges)), *parts).alias("feature", "value", "bin"))
-    return (
-        long.where(F.col("value").isNotNull())
+    """(by, feature, n, mean, std, hist): moments and bin counts of all features in one shuffle.
+
+    The edges are one constant map looked up per row; spelling the comparisons out per feature would compile
+    to code several times slower.
+    """
+    pairs = [x for f, e in edges.items() for x in (F.lit(f), _array(e))]
+    long = long_form(df, list(edges), by).withColumn("e", F.element_at(F.create_map(*pairs), F.col("feature")))
+    value, e = F.col("value"), F.col("e")
+    if kind == QUANTILE:
+        where = edge_bin(value, [e[i] for i in range(bins - 1)])
+    else:
+        where = width_bin(value, e[0], e[bins], bins)
+    counted = (
+        long.withColumn("bin", where)
         .groupBy(*by, "feature")
         .agg(
             F.count("*").alias("n"),
             F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std"),
-            F.array(*[F.count_if(F.col("bin") == i) for i in range(bins)]).alias("hist"),
+            *[F.sum(F.when(F.col("bin") == i, 1).otherwise(0)).alias(f"h{i}") for i in range(bins)],
         )
     )
+    return counted.select(*by, "feature", "n", "mean", "std", F.array(*[F.col(f"h{i}") for i in range(bins)]).alias("hist"))
 
 
 def _lookup(ref: DriftReference, pick) -> Column:
@@ -230,13 +236,14 @@ def drift_summary(
 ) -> DataFrame:
     """Per group: counts by severity, recommendation with its reason, features by falling PSI, top five, status.
 
-    The lists hold one entry per feature, so their length is the width of the table.
+    The lists hold one entry per feature, so their length is the width of the table. They are ordered by the
+    published six digits, so that noise in the last bits cannot swap features.
     """
     counted = report.groupBy(*by).agg(
         F.count_if(F.col(level) == "critical").alias("features_critical"),
         F.count_if(F.col(level) == "warning").alias("features_warning"),
         F.avg("psi").alias("avg_psi"),
-        F.sort_array(F.collect_list(F.struct("psi", "feature")), asc=False).alias("ranked"),
+        F.sort_array(F.collect_list(F.struct(F.round("psi", 6).alias("shown"), "feature", "psi")), asc=False).alias("ranked"),
     )
     critical, warning = F.col("features_critical"), F.col("features_warning")
     enough = critical >= t.min_drifted_features

@@ -189,8 +189,9 @@ def day_event_tags(gate: DataFrame, day: str = "day_number", bad_day: int = 39,
 def headline_event(days: DataFrame, events: str = "events") -> DataFrame:
     """Strongest event of each day, null when there is none."""
     out = F.lit(None).cast("string")
+    joined = F.array_join(events, "\n")
     for word, name in reversed(S.HEADLINE_EVENTS):
-        out = F.when(F.exists(events, lambda e, w=word: F.contains(e, F.lit(w))), name).otherwise(out)
+        out = F.when(F.contains(joined, F.lit(word)), name).otherwise(out)
     return days.withColumn("headline", out)
 
 

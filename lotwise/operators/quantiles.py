@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.columns import long_form, same_key, struct_rows
 
-GROUP_LIMIT = 1_000_000
+GROUP_LIMIT = 250_000
 BUCKETS = 1024
 
 

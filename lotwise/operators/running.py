@@ -52,17 +52,14 @@ def running_totals(
 
 
 def _range_edges(df: DataFrame, order: str, rows_per_bucket: int) -> tuple[int, list[float]]:
-    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    row = df.agg(
-        F.count("*").alias("n"), F.percentile_approx(F.col(order).cast("double"), probs, 2 * MAX_BUCKETS).alias("e")
-    ).first()
-    n = row["n"]
-    if not n or row["e"] is None:
-        return n or 0, []
+    n = df.count()
     wanted = min(MAX_BUCKETS, -(-n // rows_per_bucket))
-    step = MAX_BUCKETS / wanted
-    picks = [row["e"][int(i * step) - 1] for i in range(1, wanted)]
-    return n, sorted({p for p in picks if abs(p) != float("inf")})
+    if wanted <= 1:
+        return n, []
+    probs = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
+    cut = F.expr(f"percentile_approx(cast(`{order}` as double), array({probs}), {4 * wanted})")
+    found = df.agg(cut.alias("e")).first()["e"] or []
+    return n, sorted({e for e in found if abs(e) != float("inf")})
 
 
 def hash_ranked(df: DataFrame, key: Column, by: Sequence[str] = (), rank: str = "rank") -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +34,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(tune(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that has fewer splits than the session has cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:

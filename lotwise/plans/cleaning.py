@@ -318,11 +318,11 @@ _RISK = (
 )
 
 
-@query("fe21_risk_score", on_dies("SELECT die_key, day_number, round(risk, 6) AS risk FROM risk", _CAUSE, _RISK))
+@query("fe21_risk_score", on_dies("SELECT die_key, day_number, round(risk, 9) AS risk FROM risk", _CAUSE, _RISK))
 def _(spark, d):
     df = dies(spark, d)
     scored = features.risk_score(df, features.fit_leakage_scale(df))
-    return rounded(scored.where(F.col("cell_leakage_fa").isNotNull()).select(*KEYED, "risk"))
+    return rounded(scored.where(F.col("cell_leakage_fa").isNotNull()).select(*KEYED, "risk"), 9)
 
 
 @query("fe22_dominant_cause", on_dies("SELECT die_key, day_number, root_cause FROM cause", _CAUSE))
@@ -343,7 +343,7 @@ def _points(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), (F.col("label") == 0).cast("int").alias("rare"))
 
 
-_DIST = "sqrt(list_sum(list_transform(list_zip(p.e, q.e), x -> (x[1] - x[2]) * (x[1] - x[2]))))"
+_DIST = "list_distance(p.e, q.e)"
 _PTS = "pts AS (SELECT vec_id, cast(embedding as double[]) AS e, cast(label = 0 as int) AS rare FROM embeddings)"
 
 
