@@ -109,7 +109,7 @@ def _histogram(df: DataFrame, edges: dict[str, Sequence[float]], kind: str, bins
     The edges are one constant map looked up per row; spelling the comparisons out per feature would compile
     to code several times slower.
     """
-    pairs = [x for f, e in edges.items() for x in (F.lit(f), _array(e))]
+    pairs = [x for f, e in edges.items() for x in (F.lit(f), constant_array(e))]
     long = long_form(df, list(edges), by).withColumn("e", F.element_at(F.create_map(*pairs), F.col("feature")))
     value, e = F.col("value"), F.col("e")
     if kind == QUANTILE:
@@ -129,16 +129,16 @@ def _histogram(df: DataFrame, edges: dict[str, Sequence[float]], kind: str, bins
     return counted.select(*by, "feature", "n", "mean", "std", F.array(*[F.col(f"h{i}") for i in range(bins)]).alias("hist"))
 
 
-def _lookup(ref: DriftReference, pick) -> Column:
+def reference_lookup(ref: DriftReference, pick) -> Column:
     pairs = [x for f in ref.features for x in (F.lit(f.feature), pick(f))]
     return F.element_at(F.create_map(*pairs), F.col("feature"))
 
 
-def _array(values: Sequence[float]) -> Column:
+def constant_array(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def _sum(values: Column) -> Column:
+def sum_of(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
@@ -166,15 +166,15 @@ def psi_report(
     eps = t.proportion_epsilon
     total = F.greatest(F.col("n"), F.lit(1))
     current = F.transform("hist", lambda c: c / total + eps)
-    expected = _lookup(ref, lambda f: _array([p + eps for p in f.proportions]))
-    ref_mean = _lookup(ref, lambda f: F.lit(f.mean))
+    expected = reference_lookup(ref, lambda f: constant_array([p + eps for p in f.proportions]))
+    ref_mean = reference_lookup(ref, lambda f: F.lit(f.mean))
     return counted.select(
         *by,
         "feature",
         "n",
-        _sum(F.zip_with(current, expected, lambda a, r: (a - r) * F.ln(a / r))).alias("psi"),
+        sum_of(F.zip_with(current, expected, lambda a, r: (a - r) * F.ln(a / r))).alias("psi"),
         ref_mean.alias("ref_mean"),
-        _lookup(ref, lambda f: F.lit(f.std)).alias("ref_std"),
+        reference_lookup(ref, lambda f: F.lit(f.std)).alias("ref_std"),
         F.col("mean").alias("cur_mean"),
         F.col("std").alias("cur_std"),
         mean_shift_pct(F.col("mean"), ref_mean).alias("mean_shift_pct"),
@@ -191,7 +191,7 @@ def divergence_report(
     bins = ref.features[0].bins
     counted = _histogram(df, {f.feature: f.edges for f in ref.features}, WIDTH, bins, by)
     floor = F.lit(t.histogram_floor)
-    expected = _lookup(ref, lambda f: _array([max(p, t.histogram_floor) for p in f.proportions]))
+    expected = reference_lookup(ref, lambda f: constant_array([max(p, t.histogram_floor) for p in f.proportions]))
     inside = F.aggregate("hist", F.lit(0).cast("long"), lambda a, x: a + x)
     shaped = counted.withColumn("in_range", inside).withColumns(
         {
@@ -199,8 +199,8 @@ def divergence_report(
             "expected": expected,
         }
     )
-    current_sum, expected_sum = _sum(F.col("current")), _sum(F.col("expected"))
-    ref_mean = _lookup(ref, lambda f: F.lit(f.mean))
+    current_sum, expected_sum = sum_of(F.col("current")), sum_of(F.col("expected"))
+    ref_mean = reference_lookup(ref, lambda f: F.lit(f.mean))
     measured = shaped.withColumns({"cs": current_sum, "es": expected_sum}).select(
         *by,
         "feature",
@@ -208,11 +208,11 @@ def divergence_report(
         (F.col("n") - F.col("in_range")).alias("n_out_of_range"),
         F.when(
             F.col("in_range") > 0,
-            _sum(F.zip_with("current", "expected", lambda a, r: (a - r) * F.ln(a / r))),
+            sum_of(F.zip_with("current", "expected", lambda a, r: (a - r) * F.ln(a / r))),
         ).alias("psi"),
         F.when(
             F.col("in_range") > 0,
-            _sum(
+            sum_of(
                 F.zip_with(
                     "current", "expected",
                     lambda a, r: (a / F.col("cs")) * F.ln((a / F.col("cs")) / (r / F.col("es"))),
