@@ -1 +1,140 @@
-"""Registered queries."""
+"""Registered queries: models, projections, clusters and outliers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lotwise.operators import dbscan as density
+from lotwise.operators import metrics, ml, neighbors
+from lotwise.plans.bindings import dies, on_dies, query, rounded, table
+
+COLS = ["test_temp_c", "rh_susceptibility", "trp_ns", "tras_ns", "rw_latency_ns", "idd2p_standby_ma", "idd5_refresh_ma", "edge_distance"]
+KEY = ["die_key"]
+
+
+def _rows(spark, d):
+    return dies(spark, d).select("die_key", "split", "is_fail", "die_x", "die_y", *COLS)
+
+
+@query("ml01_logistic_regression")
+def _(spark, d):
+    df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
+    model = ml.fit_logistic(df.where("split = 'train'"), "is_fail", iterations=100)
+    scored = ml.score_rows(model, df.where("split <> 'train'"), ["die_key", "split", "is_fail"])
+    return metrics.evaluate(scored.withColumnRenamed("is_fail", "label"))
+
+
+@query("ml02_boosted_trees")
+def _(spark, d):
+    df = ml.assemble(_rows(spark, d), COLS).withColumn("is_val", F.col("split") == "val")
+    model = ml.fit_boosted_trees(df.where("split IN ('train', 'val')"), "is_fail", trees=10, depth=4, validation="is_val")
+    return ml.score_rows(model, df.where("split = 'test'"), ["die_key", "is_fail"])
+
+
+@query("ml03_boosted_trees_wide")
+def _(spark, d):
+    df = ml.assemble(_rows(spark, d), COLS)
+    model = ml.fit_boosted_trees(df.where("split = 'train'"), "is_fail", trees=5, depth=5, step=0.05, subsample=1.0)
+    return ml.score_rows(model, df.where("split = 'unseen'"), ["die_key", "is_fail"])
+
+
+@query("ml04_top_importances")
+def _(spark, d):
+    df = ml.assemble(_rows(spark, d), COLS)
+    model = ml.fit_boosted_trees(df, "is_fail", trees=5, depth=4)
+    return ml.top_importances(model, COLS, df, 5)
+
+
+@query("ml05_score_foreign", on_dies("SELECT die_key, round(1 / (1 + exp(-(0.1e0 * (test_temp_c - 85) + 2e0 * rh_susceptibility - 1e0))), 6) AS score FROM dies"))
+def _(spark, d):
+    def load():
+        import numpy as np
+
+        return lambda x: 1.0 / (1.0 + np.exp(-(0.1 * (x[:, 0] - 85.0) + 2.0 * x[:, 1] - 1.0)))
+
+    return rounded(ml.score_foreign(_rows(spark, d), ["test_temp_c", "rh_susceptibility"], load).select("die_key", "score"))
+
+
+@query("ml06_explained_variance")
+def _(spark, d):
+    df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
+    return ml.explained_variance(ml.fit_pca(df, len(COLS)), df)
+
+
+@query("ml06_top_loadings")
+def _(spark, d):
+    df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
+    return ml.top_loadings(ml.fit_pca(df, 4), COLS, df)
+
+
+def _pcs(spark, d, k=4):
+    df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
+    return ml.project(ml.fit_pca(df, k), df, ["die_key", "is_fail"])
+
+
+@query("ml07_kmeans_fail_rate")
+def _(spark, d):
+    return ml.cluster_fail_rate(ml.kmeans(_pcs(spark, d)), "is_fail")
+
+
+_GRID = "(SELECT l_partkey, min(l_quantity) AS x, sum(l_tax) * 20 AS y FROM lineitem GROUP BY l_partkey)"
+
+
+@query("ml08_dbscan_parts",
+    f"WITH p AS (SELECT a.l_partkey AS id, a.x, a.y FROM {_GRID} a), nb AS (SELECT a.id, b.id AS other FROM p a JOIN p b ON b.x BETWEEN a.x - 0.8e0 AND a.x + 0.8e0 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.64e0), "
+    "core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= 6) SELECT p.id AS part, p.id IN (SELECT id FROM core) AS is_core, p.id NOT IN (SELECT nb.id FROM nb JOIN core ON core.id = nb.other) AS is_noise FROM p")
+def _(spark, d):
+    pts = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.min("l_quantity").alias("x"), (F.sum("l_tax") * 20).alias("y"))
+    arr = pts.select(F.col("l_partkey").alias("part"), F.array("x", "y").alias("v"))
+    found = density.dbscan(arr, "part", "v", 0.8, 6, 2)
+    return found.select("part", "is_core", F.col("cluster").isNull().alias("is_noise"))
+
+
+@query("ml08_dbscan_components")
+def _(spark, d):
+    df = ml.from_array(table(spark, d, "embeddings").select("vec_id", "label", "embedding"), "embedding")
+    pcs = ml.project(ml.fit_pca(df, 4), df, ["vec_id", "label"])
+    return density.cluster_summary(density.dbscan(pcs, "vec_id", "pcs", 0.12, 5, 4))
+
+
+@query("ml09_isolation_forest")
+def _(spark, d):
+    found = ml.isolation_forest(_rows(spark, d), COLS, KEY, trees=50)
+    return found.select("die_key", "anomaly", "is_outlier")
+
+
+_Z = "z AS (SELECT die_key, is_fail, " + " OR ".join(f"abs(({c} - (SELECT avg({c}) FROM dies)) / (SELECT stddev_pop({c}) FROM dies)) > 2.2" for c in COLS) + " AS z_outlier, " + " OR ".join(
+    f"({c} > (SELECT quantile_cont({c}, 0.75) + 0.6e0 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM dies) OR {c} < (SELECT quantile_cont({c}, 0.25) - 0.6e0 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM dies))" for c in COLS
+) + " AS iqr_outlier FROM dies)"
+
+
+@query("ml10_zscore_outliers", on_dies("SELECT die_key, z_outlier FROM z", _Z))
+def _(spark, d):
+    return ml.zscore_outliers(_rows(spark, d), COLS, 2.2).select("die_key", "z_outlier")
+
+
+@query("ml11_iqr_outliers", on_dies("SELECT die_key, iqr_outlier FROM z", _Z))
+def _(spark, d):
+    return ml.iqr_outliers(_rows(spark, d), COLS, 0.6).select("die_key", "iqr_outlier")
+
+
+@query("ml11_upper_threshold", on_dies("SELECT count(*) AS n, count(*) FILTER (WHERE cell_leakage_fa > (SELECT quantile_cont(cell_leakage_fa, 0.75) + 1.5e0 * (quantile_cont(cell_leakage_fa, 0.75) - quantile_cont(cell_leakage_fa, 0.25)) FROM dies)) AS n_outliers FROM dies"))
+def _(spark, d):
+    found = ml.iqr_outliers(dies(spark, d), ["cell_leakage_fa"], upper_only=True)
+    return found.agg(F.count("*").alias("n"), F.count_if("iqr_outlier").alias("n_outliers"))
+
+
+@query("ml12_detector_agreement", on_dies(
+    "SELECT kind, count(*) AS n, count(*) FILTER (WHERE is_fail = 1) AS n_fail, round(count(*) FILTER (WHERE is_fail = 1) / (SELECT count(*) FROM dies WHERE is_fail = 1)::double, 6) AS caught_share FROM ("
+    "SELECT is_fail, CASE WHEN z_outlier AND iqr_outlier THEN 'both' WHEN z_outlier THEN 'only_a' WHEN iqr_outlier THEN 'only_b' ELSE 'neither' END AS kind FROM z) GROUP BY kind", _Z))
+def _(spark, d):
+    df = ml.iqr_outliers(ml.zscore_outliers(_rows(spark, d), COLS, 2.2), COLS, 0.6)
+    return rounded(ml.detector_agreement(df, "z_outlier", "iqr_outlier", "is_fail"))
+
+
+@query("fe14_nearest_neighbours",
+    "WITH pts AS (SELECT vec_id, cast(embedding as double[]) AS e FROM embeddings) SELECT query_id, donor_id, round(dist, 6) AS distance, cast(r as int) AS rank FROM (SELECT p.vec_id AS query_id, q.vec_id AS donor_id, list_distance(p.e, q.e) AS dist, "
+    "row_number() OVER (PARTITION BY p.vec_id ORDER BY list_distance(p.e, q.e), q.vec_id) AS r FROM pts p JOIN pts q ON p.vec_id <> q.vec_id) WHERE r <= 5")
+def _(spark, d):
+    pts = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return rounded(neighbors.nearest(pts, pts, "vec_id", "v", 5, exclude_self=True, pivots=8))
