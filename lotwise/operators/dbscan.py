@@ -2,8 +2,8 @@
 
 Points fall into grid cells whose diagonal is eps, so a cell with enough points consists of core points that all
 reach each other and needs no distances. Distances are evaluated only for the few points of thin cells. Whether
-two cells of core points touch is settled by halving both until their bounding boxes decide; a box of one point
-always decides, so the answer is exact. The cell graph is then reduced to components.
+two cells of core points touch is settled by halving both until their bounding boxes decide or hold so few points
+that these can be compared directly. The cell graph is then reduced to components.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from lotwise.session import cut_lineage
 
 
+PAIR_LIMIT = 4096
+
+
 def dbscan(df: DataFrame, key: str, features: str, eps: float, min_samples: int, dims: int) -> DataFrame:
     """(key, cluster, is_core): ``cluster`` is the smallest key of the cluster, null for noise. A border point
     within reach of several clusters joins the one with the smallest key."""
@@ -143,18 +146,29 @@ def _touching(core: DataFrame, near: DataFrame, eps: float, side: float, dims: i
         used = open_pairs.select(F.col("a").alias("cell")).unionByName(open_pairs.select(F.col("b").alias("cell"))).distinct()
         width = side / 2**level
         inside = core.join(used, "cell", "left_semi").withColumn("sub", _cell("v", width) if level else F.col("cell"))
-        boxes = inside.groupBy("cell", "sub").agg(*_box(dims))
-        left = boxes.select(F.col("cell").alias("a"), F.col("sub").alias("sa"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
-        right = boxes.select(F.col("cell").alias("b"), F.col("sub").alias("sb"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
+        boxes = inside.groupBy("cell", "sub").agg(F.count("*").alias("m"), *_box(dims))
+        left = boxes.select(F.col("cell").alias("a"), F.col("sub").alias("sa"), F.col("m").alias("am"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
+        right = boxes.select(F.col("cell").alias("b"), F.col("sub").alias("sb"), F.col("m").alias("bm"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
         least, most = _gap("alo", "ahi", "blo", "bhi", dims)
         judged = cut_lineage(
             open_pairs.join(left, ["a", "sa"]).join(right, ["b", "sb"]).withColumns({"least": least, "most": most})
             .where(F.col("least") <= eps * eps)
-            .select("a", "b", "sa", "sb", (F.col("most") <= eps * eps).alias("sure"))
+            .select(
+                "a", "b", "sa", "sb", (F.col("most") <= eps * eps).alias("sure"),
+                (F.col("am") * F.col("bm") <= PAIR_LIMIT).alias("few"),
+            )
         )
         sure = judged.where("sure").select("a", "b").distinct()
-        found = sure if found is None else found.unionByName(sure)
-        rest = judged.join(sure, ["a", "b"], "left_anti").select("a", "b", "sa", "sb")
+        open_now = judged.join(sure, ["a", "b"], "left_anti")
+        pa = inside.select(F.col("cell").alias("a"), F.col("sub").alias("sa"), F.col("v").alias("p"))
+        pb = inside.select(F.col("cell").alias("b"), F.col("sub").alias("sb"), F.col("v").alias("q"))
+        compared = (
+            open_now.where("few").join(pa, ["a", "sa"]).join(pb, ["b", "sb"])
+            .where(_squared("p", "q", dims) <= eps * eps).select("a", "b").distinct()
+        )
+        settled = cut_lineage(sure.unionByName(compared))
+        found = settled if found is None else found.unionByName(settled)
+        rest = open_now.where(~F.col("few")).join(settled, ["a", "b"], "left_anti").select("a", "b", "sa", "sb")
         if rest.isEmpty():
             return found
         level += 1
