@@ -1,7 +1,5 @@
 """Models, projections and outlier detectors on feature rows."""
 
-from __future__ import annotations
-
 import math
 from collections.abc import Callable, Iterator, Sequence
 
@@ -67,12 +65,12 @@ def score_foreign(
 ) -> DataFrame:
     """Score with a model Spark does not know. ``load`` runs once per task and returns a function on matrices."""
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         predict = load()
         for parts in batches:
             yield pd.Series(np.asarray(predict(np.column_stack([p.to_numpy(float) for p in parts])), dtype=float))
 
-    scored = F.pandas_udf(run, "double", functionType=F.PandasUDFType.SCALAR_ITER)
     return df.withColumn(name, scored(*[F.col(c).cast("double") for c in columns]))
 
 

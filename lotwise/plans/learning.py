@@ -77,16 +77,17 @@ def _(spark, d):
     return ml.cluster_fail_rate(ml.kmeans(_pcs(spark, d)), "is_fail")
 
 
-_GRID = "(SELECT l_partkey, min(l_quantity) AS x, sum(l_tax) * 20 AS y FROM lineitem GROUP BY l_partkey)"
+_GRID = "(SELECT l_partkey, avg(l_extendedprice) / 10000e0 AS x, avg(l_discount) * 100 AS y FROM lineitem GROUP BY l_partkey)"
 
 
 @query("ml08_dbscan_parts",
-    f"WITH p AS (SELECT a.l_partkey AS id, a.x, a.y FROM {_GRID} a), nb AS (SELECT a.id, b.id AS other FROM p a JOIN p b ON b.x BETWEEN a.x - 0.8e0 AND a.x + 0.8e0 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.64e0), "
-    "core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= 6) SELECT p.id AS part, p.id IN (SELECT id FROM core) AS is_core, p.id NOT IN (SELECT nb.id FROM nb JOIN core ON core.id = nb.other) AS is_noise FROM p")
+    f"WITH p AS (SELECT a.l_partkey AS id, a.x, a.y FROM {_GRID} a), nb AS (SELECT a.id, b.id AS other FROM p a JOIN p b ON b.x BETWEEN a.x - 0.12e0 AND a.x + 0.12e0 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.12e0 * 0.12e0), "
+    "core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= 12) SELECT p.id AS part, p.id IN (SELECT id FROM core) AS is_core, p.id NOT IN (SELECT nb.id FROM nb JOIN core ON core.id = nb.other) AS is_noise FROM p")
 def _(spark, d):
-    pts = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.min("l_quantity").alias("x"), (F.sum("l_tax") * 20).alias("y"))
+    pts = table(spark, d, "lineitem").groupBy("l_partkey").agg(
+        (F.avg("l_extendedprice") / 10000.0).alias("x"), (F.avg("l_discount") * 100).alias("y"))
     arr = pts.select(F.col("l_partkey").alias("part"), F.array("x", "y").alias("v"))
-    found = density.dbscan(arr, "part", "v", 0.8, 6, 2)
+    found = density.dbscan(arr, "part", "v", 0.12, 12, 2)
     return found.select("part", "is_core", F.col("cluster").isNull().alias("is_noise"))
 
 
