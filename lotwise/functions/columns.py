@@ -102,3 +102,14 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality on all keys."""
     tests = [left[k].eqNullSafe(right[k]) for k in keys]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join on equal names that keeps the left keys. The right keys are renamed first, so it is safe
+    when ``right`` was derived from ``left``."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    tests = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(renamed, reduce(lambda a, b: a & b, tests, F.lit(True)), how)
+    return joined.drop(*[f"_right_{k}" for k in keys])

@@ -282,7 +282,7 @@ def best_epoch(
     better = F.col(metric) > F.coalesce(F.max(metric).over(seen), F.lit(-float("inf")))
     marked = epochs.withColumn("_better", better)
     last = F.last(F.when(F.col("_better"), F.col(epoch)), True).over(upto)
-    gap = marked.withColumn("_gap", F.row_number().over(Window.partitionBy(*run).orderBy(epoch))).withColumn("_last", last)
+    gap = marked.withColumn("_last", last)
     stops = F.min(F.when(F.col(epoch) - F.col("_last") >= policy.early_stop_patience, F.col(epoch))).over(
         Window.partitionBy(*run)
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.functions.columns import is_finite, ratio, same_key
+from lotwise.functions.columns import is_finite, join_same, ratio
 from lotwise.functions.losses import focal_loss, smoothed_focal_loss
 from lotwise.operators.running import running_totals
 from lotwise.spec import FocalParams
@@ -44,12 +44,7 @@ def require_valid_scores(df: DataFrame, by: Sequence[str] = ("split",), min_vali
         .otherwise(F.raise_error(F.lit("too many non-finite scores")).cast("boolean"))
         .alias("_usable"),
     )
-    return (
-        df.where("is_valid")
-        .join(guarded, same_key(df, guarded, by))
-        .where("_usable")
-        .select(*[df[c] for c in df.columns])
-    )
+    return join_same(df.where("is_valid"), guarded, by).where("_usable").drop("_usable")
 
 
 def confusion(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score", threshold=0.5) -> DataFrame:
@@ -96,9 +91,7 @@ def precision_recall_curve(df: DataFrame, by: Sequence[str], label: str = "label
     totals = grouped.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     running = running_totals(grouped, "threshold", {"pos_upto": "pos", "neg_upto": "neg"}, by)
     if by:
-        joined = running.join(totals, same_key(running, totals, by)).select(
-            *[running[c] for c in running.columns], "n_pos", "n_neg"
-        )
+        joined = join_same(running, totals, by)
     else:
         row = totals.first()
         joined = running.withColumns({"n_pos": F.lit(row["n_pos"]), "n_neg": F.lit(row["n_neg"])})
@@ -145,16 +138,14 @@ def evaluate(
     curve = precision_recall_curve(df, keys, label, score)
     chosen = best_threshold(curve.where(F.col(split) == fit_split), by)
     if by:
-        cut = df.join(chosen, same_key(df, chosen, by)).select(*[df[c] for c in df.columns], "threshold")
+        cut = join_same(df, chosen.select(*by, "threshold"), by)
         counts = confusion(cut, [*keys, "threshold"], label, score, F.col("threshold"))
     else:
         value = chosen.first()["threshold"]
         counts = confusion(df, keys, label, score, F.lit(value)).withColumn("threshold", F.lit(value))
     ranked = ranking_metrics(curve, keys)
     full = rates(counts)
-    return full.join(ranked, same_key(full, ranked, keys)).select(
-        *[full[c] for c in full.columns], "n_samples", "n_positive", "auc_pr", "auc_roc"
-    )
+    return join_same(full, ranked.select(*keys, "n_samples", "n_positive", "auc_pr", "auc_roc"), keys)
 
 
 def decide(df: DataFrame, score: str = "score", threshold: float = 0.5) -> DataFrame:

@@ -60,11 +60,11 @@ def _(spark, d):
 
 @query("ag05_daily_feature_stats", on_dies(
     "SELECT day_number, feature, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev, "
-    "round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, "
+    "round(quantile_cont(value, 0.25), 8) AS p25, round(quantile_cont(value, 0.5), 8) AS p50, round(quantile_cont(value, 0.75), 8) AS p75, "
     "round(min(value), 6) AS min_val, round(max(value), 6) AS max_val FROM long GROUP BY day_number, feature",
     long_cte(SIX, keep="day_number")))
 def _(spark, d):
-    return rounded(profile.daily_feature_stats(dies(spark, d), SIX))
+    return rounded(profile.daily_feature_stats(dies(spark, d), SIX), p25=8, p50=8, p75=8)
 
 
 @query("ag06_split_profile", on_dies(
@@ -175,10 +175,10 @@ def _(spark, d):
 
 
 @query("ag19_describe", on_dies(
-    "SELECT feature, count(*) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25, "
-    "round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max FROM long GROUP BY feature", long_cte(S.NUMERIC)))
+    "SELECT feature, count(*) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 8) AS p25, "
+    "round(quantile_cont(value, 0.5), 8) AS p50, round(quantile_cont(value, 0.75), 8) AS p75, round(max(value), 6) AS max FROM long GROUP BY feature", long_cte(S.NUMERIC)))
 def _(spark, d):
-    return rounded(profile.describe(dies(spark, d), S.NUMERIC))
+    return rounded(profile.describe(dies(spark, d), S.NUMERIC), p25=8, p50=8, p75=8)
 
 
 @query("ag20_class_medians", on_dies("SELECT is_fail, feature, round(median(value), 6) AS median FROM long GROUP BY is_fail, feature", long_cte(SIX, keep="is_fail")))

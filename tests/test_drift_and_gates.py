@@ -113,7 +113,7 @@ def test_three_criteria(spark):
 
 
 def test_early_stop_and_window(spark):
-    values = [0.1, 0.3, 0.3] + [0.2] * 10 + [0.9]
+    values = [0.1, 0.3, 0.3] + [0.2] * 11 + [0.9]
     df = spark.createDataFrame([("r", i + 1, v) for i, v in enumerate(values)], "run string, epoch int, val_auc_pr double")
     r = lifecycle.best_epoch(df, ["run"]).first()
     assert (r["best_epoch"], r["best_value"], r["stop_epoch"]) == (2, 0.3, 14)

@@ -36,6 +36,14 @@ def test_one_class_and_published_counts(spark):
     assert (r["precision"], r["recall"], r["f1"]) == pytest.approx((0.092579, 0.173219, 0.120666), abs=1e-6)
 
 
+def test_evaluate_by_model_uses_each_models_own_threshold(spark):
+    rows = [(m, s, y, p) for m, ps in (("a", (0.9, 0.2)), ("b", (0.5, 0.4))) for s in ("val", "test") for y, p in zip((1, 0), ps)]
+    df = spark.createDataFrame(rows, "model string, split string, label int, score double")
+    got = {(r["model"], r["split"]): r for r in metrics.evaluate(df, by=["model"]).collect()}
+    assert {k: r["threshold"] for k, r in got.items()} == {("a", "val"): 0.9, ("a", "test"): 0.9, ("b", "val"): 0.5, ("b", "test"): 0.5}
+    assert all(r["f1"] == 1.0 and r["auc_roc"] == 1.0 for r in got.values())
+
+
 def test_too_many_bad_scores_fail_the_job(spark):
     df = spark.createDataFrame([("val", 0.1), ("val", float("nan"))], "split string, score double")
     with pytest.raises(Exception, match="non-finite"):
