@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.columns import long_form, same_key, struct_rows
 
-GROUP_LIMIT = 250_000
+GROUP_LIMIT = 1_000_000
 BUCKETS = 1024
 
 
@@ -40,6 +40,9 @@ def exact_quantiles(
     by, probs = list(by), [float(p) for p in probs]
     keys = [*by, "feature"]
     values = long_form(df, columns, by)
+    # Counting rows reads no values; only a table beyond the limit needs its groups sized one by one.
+    if df.count() <= group_limit:
+        return _in_one_pass(values, keys, probs)
     sizes = _sizes(df, columns, by)
     # At most total / group_limit rows come back.
     big = sizes.where(F.col("n") > group_limit).collect()

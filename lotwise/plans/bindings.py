@@ -38,9 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that has fewer splits than the session has cores; larger inputs stay as they are."""
+    """Use all cores on an input that has fewer splits than the session has cores; larger inputs stay as they are.
+    By key, because a round-robin exchange would sort every row first."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
