@@ -50,7 +50,7 @@ def read_landing(spark: SparkSession, path: str, schema: str | T.StructType = PR
     return conform(merged, schema)
 
 
-def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLITS, prefix: str = "dram_stdf_") -> dict[str, DataFrame]:
+def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLITS, prefix: str = "") -> dict[str, DataFrame]:
     """One file per split."""
     return {n: spark.read.parquet(f"{path}/{prefix}{n}.parquet") for n in names}
 
