@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bitslice, langid, pii, toxicity
+from lotwise.llm import bitslice, langid, packing, pii, toxicity, urlfilter
 from lotwise.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,12 +66,38 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("findings")).alias("spans"))
 
 
+OP9_RULES = (
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by rules, else by naive Bayes over segmented host and path tokens."""
+    return urlfilter.classify(table(spark, sf_dir, "pages"), "page_id", "url", OP9_RULES, "html")
+
+
+def tokenizer_path() -> str:
+    """Place of the public 50k byte-level vocabulary; LLM_TOKENIZER names another file."""
+    if "LLM_TOKENIZER" in os.environ:
+        return os.environ["LLM_TOKENIZER"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 ids, neighbours by BM25 together."""
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_masks": op1_language_masks,
         "op3_toxicity": op3_toxicity,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
         "op7_pii": op7_pii,
+        "op9_url_filter": op9_url_filter,
+        "op10_retrieval_packing": op10_retrieval_packing,
     }
 
 
