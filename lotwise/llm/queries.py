@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bitslice, langid, packing, pii, toxicity, urlfilter
+from lotwise.llm import bitslice, containment, heavylight, langid, packing, pii, toxicity, urlfilter
 from lotwise.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,32 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return heavylight.jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * i >= 90 * (u.n + v.n - i)
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id AND r.c < e.y)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products of every vector whose id is divisible by 50 with all other vectors."""
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0)
@@ -66,6 +92,31 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("findings")).alias("spans"))
 
 
+def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain at least 0.8 of a benchmark item's 5-word shingles, with the items."""
+    found = containment.contained(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_common", "n_item")
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), bs AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+    lambda i: array_to_string(w[i : i + least(len(w), 5) - 1], ' '))) AS s FROM b WHERE len(w) > 0
+), ks AS (SELECT DISTINCT k FROM bs
+), ds AS (
+  SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS s
+  FROM d, ks WHERE len(w) >= k
+), n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+SELECT doc_id, bs.item_id, count(*) AS n_common, any_value(n_item) AS n_item
+FROM bs JOIN ds ON ds.k = bs.k AND ds.s = bs.s JOIN n ON n.item_id = bs.item_id
+GROUP BY doc_id, bs.item_id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9
+"""
+
+
 OP9_RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
@@ -94,8 +145,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_masks": op1_language_masks,
         "op3_toxicity": op3_toxicity,
+        "op4_heavy_light_join": op4_heavy_light_join,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
         "op7_pii": op7_pii,
+        "op8_benchmark_containment": op8_benchmark_containment,
         "op9_url_filter": op9_url_filter,
         "op10_retrieval_packing": op10_retrieval_packing,
     }
@@ -103,5 +156,7 @@ def queries() -> dict[str, Query]:
 
 def oracles() -> dict[str, str]:
     return {
+        "op4_heavy_light_join": OP4_SQL,
         "op6_bit_sliced_top_k": OP6_SQL,
+        "op8_benchmark_containment": OP8_SQL,
     }
