@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bitslice, containment, heavylight, langid, packing, pii, toxicity, urlfilter
+from lotwise.llm import bitslice, containment, heavylight, langid, packing, pii, suffixdedup, toxicity, urlfilter
 from lotwise.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_i
 """
 
 
+def op5_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every text when repeated 100-byte strings go."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products of every vector whose id is divisible by 50 with all other vectors."""
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0)
@@ -146,6 +151,7 @@ def queries() -> dict[str, Query]:
         "op1_language_masks": op1_language_masks,
         "op3_toxicity": op3_toxicity,
         "op4_heavy_light_join": op4_heavy_light_join,
+        "op5_suffix_runs": op5_suffix_runs,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
         "op7_pii": op7_pii,
         "op8_benchmark_containment": op8_benchmark_containment,
