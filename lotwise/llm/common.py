@@ -72,6 +72,17 @@ def pieces(texts: list[str], limit: int, overlap: int) -> Iterator[tuple[list[in
         yield rows, parts
 
 
+def numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """(key, text) with unique keys and null texts empty; where ids repeat or are missing, rows are numbered in order of
+    id (null first), then of the text's digest, and (number, key) tells the ids."""
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    seen = rows.agg(F.count("*"), F.count("key"), F.count_distinct("key")).first()
+    if seen[0] == seen[1] == seen[2]:
+        return rows, None
+    rows = stored(rows.sort(F.col("key").asc_nulls_first(), F.md5("text")).withColumn("number", F.monotonically_increasing_id()))
+    return rows.select(F.col("number").alias("key"), "text"), rows.select("number", "key")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Smallest id reachable from each id that has an edge: columns (id, component).
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bitslice, containment, heavylight, langid, packing, pii, suffixdedup, toxicity, urlfilter
+from lotwise.llm import bitslice, chaining, containment, heavylight, langid, packing, pii, suffixdedup, toxicity, urlfilter
 from lotwise.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def op1_language_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, "text", model, ["doc_id"]).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op2_passage_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that a document shares with an earlier one at an identity of 0.8 or more."""
+    found = chaining.passages(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("key", "doc_id").withColumnRenamed("source", "source_doc_id")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every text, learned from the labels whose crc32 remainder is not 1."""
     docs = table(spark, sf_dir, "documents")
@@ -149,6 +155,7 @@ def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_language_masks": op1_language_masks,
+        "op2_passage_chains": op2_passage_chains,
         "op3_toxicity": op3_toxicity,
         "op4_heavy_light_join": op4_heavy_light_join,
         "op5_suffix_runs": op5_suffix_runs,

@@ -64,6 +64,14 @@ def letter_tables() -> tuple[np.ndarray, np.ndarray]:
     return inside, word_tables()[1]
 
 
+@functools.lru_cache(maxsize=1)
+def alnum_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The same for words of letters and digits."""
+    inside = letter_tables()[0].copy()
+    inside[48:58] = True
+    return inside, word_tables()[1]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts behind each other, and the len + 1 offsets of the texts; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
