@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import hash_share, partitions, small_batches, stored
+from lotwise.llm.common import hash_share, numbered, partitions, small_batches, stored
 from lotwise.llm.words import M2, byte_values, mix, powers, slices, text_bytes
 
 LENGTH, SEED = 100, 32
@@ -361,30 +361,28 @@ def remove_repeats(
     """key, n_bytes, n_removed, n_spans, kept_sha256 of every row, and the remaining bytes as `kept` if asked for."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = rows.agg(F.count("*"), F.count("key"), F.count_distinct("key")).first()
-    own = None
-    if not seen[0] == seen[1] == seen[2]:  # ids that repeat or are missing: number the rows in the defined order
-        rows = stored(rows.sort(F.col("key").asc_nulls_first(), F.md5("text")).withColumn("number", F.monotonically_increasing_id()))
-        own = rows.select("number", "key")
-        rows = rows.select(F.col("number").alias("key"), "text")
+    rows, own = numbered(docs, key, text)
+    texts_there = rows.count()
+    # The condition always holds; stated here, it is the same above every use of the exchange, which is then made once.
+    rows = rows.where("key is not null")
     count = partitions(spark)
     texts = rows.repartition(count, "key")  # the one exchange of whole texts
     digests = rows.select("key", F.md5("text").alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("copies > 1")
     copies = stored(digests.join(firsts, "digest").where(F.col("key") != F.col("first")).select("key"))
     parts = max(1, count)
-    sample = rows.where(hash_share(F.col("key"), min(1.0, SAMPLED_TEXTS / max(1, seen[0])))).mapInArrow(_sample(length, seed), "head binary")
+    sample = rows.where(hash_share(F.col("key"), min(1.0, SAMPLED_TEXTS / max(1, texts_there)))).mapInArrow(_sample(length, seed), "head binary")
     heads = sorted(bytes(r[0]) for r in sample.collect())  # from about SAMPLED_TEXTS texts, at most SAMPLED_HEADS of each
     splitters = [heads[i * len(heads) // parts] for i in range(1, parts)] if len(heads) > parts else []
     small = lambda df: df.hint("shuffle_hash")
-    repeated = texts.join(small(copies), "key", "left_anti").mapInArrow(_anchor_rows(length, seed), "seed long, key long, at long").repartition(
+    marked = texts.join(small(copies.withColumn("copy", F.lit(True))), "key", "left")  # an anti join would pass below the exchange
+    repeated = marked.where("copy is null").select("key", "text").mapInArrow(_anchor_rows(length, seed), "seed long, key long, at long").repartition(
         count, "seed").mapInArrow(_repeated, "key long, at long")
     places = repeated.groupBy("key").agg(F.collect_list("at").alias("places"))
     runs = texts.join(small(places), "key").select("key", "text", "places").mapInArrow(_runs(length, seed, splitters), "part int, run binary, spans binary")
     spans = runs.groupBy("part").applyInArrow(_merge(length, seed), "key long, low long, high long")
     by_key = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = texts.join(small(by_key), "key", "left").join(small(copies.withColumn("copy", F.lit(True))), "key", "left")
+    joined = marked.join(small(by_key), "key", "left")
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     out = joined.select("key", "text", "spans", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_apply(length, keep_text), schema)
     if own is None:
