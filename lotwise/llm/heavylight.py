@@ -4,8 +4,11 @@ A text becomes the set of its distinct word shingles. Equal sets collapse to one
 a size boundary are *light*: they enumerate the fixed-size subsets a similar partner must share. Other sets are
 *heavy*: they are found by scanning inverted lists of their prefix, in an order in which the corpus' most repeated
 shingles come last; any order gives all links, this one keeps the lists short. The boundary is chosen by cost from the
-size histogram and the list lengths. Lists carry a 256-bit parity sketch of each set, a lower bound on the difference
-of two sets, so a list only connects entries that may be linked, and only by a spanning forest: no list emits its pairs.
+size histogram and the list lengths. A large set is cut into groups by its shingles' hashes: the similarity of two sets
+is a weighted mean of the similarities of their groups, so linked sets have a group that is as similar as they must be,
+and groups of about GROUP shingles can be listed instead. Lists carry a 256-bit parity sketch of each group, a lower
+bound on the difference of two, so a list only connects entries that may be linked, and only by a spanning forest: no
+list emits its pairs.
 
 The connected candidates form families. In a family the sets themselves are compared exactly: a family is dealt to blocks
 of about `block_sets` sets or `block_items` shingles, each pair of blocks is one group, and it emits a spanning forest of
@@ -32,6 +35,7 @@ from lotwise.llm.common import components, partitions, small_batches, stored
 from lotwise.llm.words import M1, M2, mix, shingles, slices, text_bytes, word_hashes
 
 SKETCH_WORDS = 4
+GROUP = 300
 LATE = 1 << 16  # shingles that are ordered last: a fixed number, sent to all tasks
 MASK = (1 << 64) - 1
 
@@ -60,6 +64,12 @@ def overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def group_counts(n: int, percent: int) -> list[int]:
+    """Numbers of groups, powers of two, in which a set of size n meets its possible partners."""
+    sizes = (n, -(-percent * n // 100), 100 * n // percent)
+    return sorted({1 << max(0, (-(-size // GROUP) - 1).bit_length()) for size in sizes})
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Any partner shares one of so many first elements in a common order."""
     return n - -(-percent * n // 100) + 1
@@ -136,8 +146,8 @@ def _describe(width: int, percent: int):
 
 
 def _post(width: int, percent: int, limit: int, late):
-    """Entries of the lists: key of a subset or of a prefix shingle, set id, size, sketch."""
-    names = ["token", "sid", "n", *[f"s{i}" for i in range(SKETCH_WORDS)]]
+    """Entries of the lists: key of a subset or of a prefix shingle, set id, sizes of the set and of the group, sketch."""
+    names = ["token", "sid", "sizes", *[f"s{i}" for i in range(SKETCH_WORDS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = late.value
@@ -152,21 +162,26 @@ def _post(width: int, percent: int, limit: int, late):
                 if sid in seen:
                     continue
                 seen.add(sid)
-                keys: list[np.ndarray] = []
+                entries: list[tuple[np.ndarray, np.ndarray]] = []  # keys of lists, and the shingles they stand for
                 if n < limit:
-                    for c in subset_sizes(n, percent, limit):
-                        keys.append(np.array(subset_keys(s, [c]), dtype=np.int64))
+                    entries.append((np.array(subset_keys(s, subset_sizes(n, percent, limit)), dtype=np.int64), s))
                 if 100 * n // percent >= limit:  # it or a possible partner is heavy
                     place = np.searchsorted(last, s)
                     place[place == len(last)] = 0
                     is_late = last[place] == s if len(last) else np.zeros(n, dtype=bool)
                     ordered = np.concatenate([s[~is_late], s[is_late]])
-                    keys.append(mix(ordered[:prefix_length(n, percent)]).view(np.int64))
-                for k in keys:
-                    token.append(k)
-                    ids.append(np.full(len(k), sid, dtype=np.int64))
-                    size.append(np.full(len(k), n, dtype=np.int32))
-                    marks.append(np.broadcast_to(sketch(s), (len(k), SKETCH_WORDS)))
+                    group = mix(ordered)
+                    for groups in group_counts(n, percent):
+                        name = mix(np.array([groups], dtype=np.uint64))
+                        own = (group >> np.uint64(20)) & np.uint64(groups - 1)
+                        for part in (ordered[own == g] for g in range(groups)) if groups > 1 else [ordered]:
+                            entries.append((mix(part[:prefix_length(len(part), percent)] ^ name).view(np.int64), part))
+                for k, part in entries:
+                    if len(k):
+                        token.append(k)
+                        ids.append(np.full(len(k), sid, dtype=np.int64))
+                        size.append(np.full(len(k), n << 32 | len(part), dtype=np.int64))
+                        marks.append(np.broadcast_to(sketch(part), (len(k), SKETCH_WORDS)))
             if token:
                 mark = np.concatenate(marks)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (token, ids, size)] + [
@@ -175,15 +190,15 @@ def _post(width: int, percent: int, limit: int, late):
     return run
 
 
-def may_link(n: np.ndarray, marks: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the others may be linked with entry i, by size and by the sketches' lower bound on the difference."""
+def may_link(n: np.ndarray, m: np.ndarray, marks: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the others may be linked with entry i, by set size and by the lower bound on the groups' difference."""
     differ = np.bitwise_count(marks[others] ^ marks[i]).sum(axis=1)
     small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
     # 100 * (a + b - d) / 2 >= percent * (a + b + d) / 2
-    return (100 * small >= percent * large) & ((100 + percent) * differ.astype(np.int64) <= (100 - percent) * (n[others] + n[i]))
+    return (100 * small >= percent * large) & ((100 + percent) * differ.astype(np.int64) <= (100 - percent) * (m[others] + m[i]))
 
 
-def forest(n: np.ndarray, marks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def forest(n: np.ndarray, m: np.ndarray, marks: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Spanning forest of the possible links in one list: each found entry looks once at those not yet found."""
     left = np.argsort(n, kind="stable")
     size = n[left]
@@ -194,7 +209,7 @@ def forest(n: np.ndarray, marks: np.ndarray, percent: int) -> list[tuple[int, in
         while queue and len(left):
             i = queue.pop()
             a, b = np.searchsorted(size, [-(-percent * n[i] // 100), 100 * n[i] // percent + 1])
-            hit = may_link(n, marks, i, left[a:b], percent)
+            hit = may_link(n, m, marks, i, left[a:b], percent)
             if hit.any():
                 found = left[a:b][hit]
                 edges.extend((int(i), int(j)) for j in found)
@@ -213,7 +228,7 @@ def _lists(percent: int):
         if not held:
             return
         table = pa.Table.from_batches(held)
-        token, ids, n = (table.column(c).to_numpy() for c in ("token", "sid", "n"))
+        token, ids, sizes = (table.column(c).to_numpy() for c in ("token", "sid", "sizes"))
         marks = np.stack([table.column(f"s{i}").to_numpy() for i in range(SKETCH_WORDS)], axis=1).view(np.uint64)
         order = np.lexsort((ids, token))
         same = token[order[1:]] == token[order[:-1]]
@@ -226,8 +241,7 @@ def _lists(percent: int):
             rows = rows[np.append(True, ids[rows[1:]] != ids[rows[:-1]])]
             if len(rows) < 2:
                 continue
-            size = n[rows].astype(np.int64)
-            for i, j in forest(size, marks[rows], percent):
+            for i, j in forest(sizes[rows] >> 32, sizes[rows] & 0xFFFFFFFF, marks[rows], percent):
                 left.append(ids[rows[i]])
                 right.append(ids[rows[j]])
         if left:
@@ -298,7 +312,7 @@ def jaccard_components(
     sizes = {r["n"]: r["count"] for r in texts.where("n between 1 and 64").groupBy("n").count().collect()}
     limit = boundary(sizes, min(spread, 64.0), percent)
     shared = spark.sparkContext.broadcast(np.sort(late["shingle"].to_numpy(dtype=np.int64).view(np.uint64)))
-    schema = "token long, sid long, n int, " + ", ".join(f"s{i} long" for i in range(SKETCH_WORDS))
+    schema = "token long, sid long, sizes long, " + ", ".join(f"s{i} long" for i in range(SKETCH_WORDS))
     posted = rows.select("text").mapInArrow(_post(width, percent, limit, shared), schema)
     candidates = posted.repartition(partitions(spark), "token").mapInArrow(_lists(percent), "a long, b long").distinct()
     families = stored(components(candidates, "a", "b"))
