@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.llm import stages
+from lotwise.llm.common import stored
 
 STAGES = [
     ("toxicity", stages.drop_toxic),
+    ("n-gram Jaccard join", stages.drop_near_duplicates),
+    ("benchmark decontamination", stages.drop_benchmark_leaks),
+    ("personal data", stages.redact_personal_data),
+    ("packing", stages.pack_sequences),
 ]
 
 # Learned scores and tokenizer ids are beyond SQL: tests compare each stage with a brute-force version.
@@ -20,5 +25,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:
-            docs = stages.stored(docs)
+            docs = stored(docs)
     return docs

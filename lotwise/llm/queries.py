@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import bitslice, chaining, containment, heavylight, langid, packing, pii, suffixdedup, toxicity, urlfilter
-from lotwise.llm.common import crc_mod
+from lotwise.llm.common import crc_mod, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,15 +137,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.classify(table(spark, sf_dir, "pages"), "page_id", "url", OP9_RULES, "html")
 
 
-def tokenizer_path() -> str:
-    """Place of the public 50k byte-level vocabulary; LLM_TOKENIZER names another file."""
-    if "LLM_TOKENIZER" in os.environ:
-        return os.environ["LLM_TOKENIZER"]
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids, neighbours by BM25 together."""
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path())
