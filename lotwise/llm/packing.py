@@ -46,7 +46,7 @@ class Coder:
     """A byte-level tokenizer file with a bounded cache of the ids of blank-separated pieces.
 
     Pieces outside the cache are encoded by rank merging over the file's own vocabulary, which gives the same ids several
-    times faster; pieces that hold an added token go through the tokenizer itself.
+    times faster; texts that hold an added token go through the tokenizer itself.
     """
 
     def __init__(self, path: str, end: int):
@@ -63,6 +63,8 @@ class Coder:
         place = {c: b for b, c in byte_characters().items()}
         ranks = {bytes(place[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if token not in added}
         self.encode = tiktoken.Encoding(path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.leads = np.zeros(self.size, dtype=bool)  # ids that begin with a blank
+        self.leads[[i for b, i in ranks.items() if b[:1] == b" "]] = True
         self.later: dict[str, bytes] = {}
 
     @staticmethod
@@ -72,29 +74,40 @@ class Coder:
         return _coders[path, end]
 
     def piece(self, text: str) -> bytes:
-        if self.added.search(text):
-            return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return array(self.code, self.encode(text)).tobytes()
 
+    def fill(self, codes: list[bytes | None], parts: list[str], plain: bool) -> None:
+        """Encodes the pieces that the cache lacks. Pieces without blanks are encoded in one go: each begins where the ids
+        begin with a blank."""
+        at = [i for i, code in enumerate(codes) if code is None]
+        missing = [parts[i] for i in at]
+        found = []
+        if plain:
+            ids = np.array(self.encode(" " + " ".join(missing)), dtype=self.kind)
+            cuts = np.append(np.flatnonzero(self.leads[ids]), len(ids)) * self.kind.itemsize
+            raw, cuts = ids.tobytes(), cuts.tolist()
+            found = [raw[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
+        if len(found) != len(at):
+            found = [self.piece(" " + part) for part in missing]
+        for i, part, code in zip(at, missing, found, strict=True):
+            codes[i] = code
+            if len(part) <= CACHED_CHARS:
+                self.later[part] = code
+
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of the text with the end id."""
         text = text or ""
-        if "  " in text or " \n" in text or "\n " in text or any(c in text for c in RARE_SPACES) or text[:1] == " " or text[-1:] == " ":
-            parts = LONE_BLANK.split(text)
-        else:
-            parts = text.split(" ")
+        last = self.end.to_bytes(self.kind.itemsize, "little")
+        if self.added.search(text):
+            return np.frombuffer(array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + last, dtype=self.kind)
+        plain = not ("  " in text or " \n" in text or "\n " in text or any(c in text for c in RARE_SPACES) or text[:1] == " " or text[-1:] == " ")
+        parts = text.split(" ") if plain else LONE_BLANK.split(text)
         if len(self.later) > CACHED:
             self.later.clear()
-        later = self.later
-        codes = [self.piece(parts[0]), *map(later.get, parts[1:])]
+        codes = [self.piece(parts[0]), *map(self.later.get, parts[1:])]
         if None in codes:
-            for i, code in enumerate(codes):
-                if code is None:
-                    part = parts[i]
-                    codes[i] = later.get(part) or self.piece(" " + part)
-                    if len(part) <= CACHED_CHARS:
-                        later[part] = codes[i]
-        codes.append(self.end.to_bytes(self.kind.itemsize, "little"))
+            self.fill(codes, parts, plain)
+        codes.append(last)
         return np.frombuffer(b"".join(codes), dtype=self.kind)
 
 
@@ -119,7 +132,8 @@ def _signs(size: int) -> np.ndarray:
 
 def signature(ids: np.ndarray, size: int) -> int:
     """Sorts lexically similar texts together: 8 signs of the summed hashes of the ids, then a minimum over id pairs."""
-    lanes = np.array([int(table[ids].sum()) >> (16 * lane) & 0xFFFF for table in _signs(size) for lane in range(4)])
+    sums = [int(table[ids].sum()) for table in _signs(size)]
+    lanes = np.array([s >> (16 * lane) & 0xFFFF for s in sums for lane in range(4)])
     signs = int(np.packbits(2 * lanes > len(ids))[0])
     wide = ids.astype(np.uint64)
     pairs = (wide[:-1] * np.uint64(1 << 20) + wide[1:] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) if len(ids) > 1 else wide + np.uint64(1)
@@ -250,7 +264,7 @@ def _pack(window: int, idf, average: float, query_terms: int, kind: str):
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        table = pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held).sort_by([("signature", "ascending"), ("key", "ascending"), ("tokens", "ascending")])
         rests = [np.frombuffer(x.as_py(), dtype=kind) for chunk in table.column("rest").chunks for x in chunk]
         tokens = table.column("tokens").to_numpy()
         lengths = np.array([len(r) for r in rests])
@@ -294,7 +308,7 @@ def pack(
     rest_tokens = coded.agg(F.sum(F.length("rest"))).first()[0] or 0
     shards = max(1, -(-rest_tokens // (width * shard_tokens)))
     packed = coded.where("rest is not null").select("key", "tokens", "signature", "rest").repartitionByRange(
-        shards, "signature", "key").select("key", "tokens", "rest").mapInArrow(
+        shards, "signature", "key").mapInArrow(
         _pack(window, idf, length / texts, query_terms, coder.kind.str),
         f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     full = coded.where("size(full) > 0").select("key", "tokens", F.posexplode("full").alias("place", "crc")).select(
