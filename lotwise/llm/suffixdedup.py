@@ -83,20 +83,31 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def _anchor_rows(length: int, seed: int):
+    """Anchors by seed. Of a seed that repeats in one slice of texts only the first asks for partners elsewhere; all of
+    its anchors are known to repeat and travel under hashes of their own, so no seed is a large group."""
+    names = ["seed", "key", "at", "known"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
             for low, high, data, offsets in _texts(batch.column(1)):
                 at, h = anchors(data, np.repeat(offsets[1:], np.diff(offsets)), length, seed)
                 row = np.searchsorted(offsets, at, side="right") - 1
+                order = np.argsort(h, kind="stable")
+                same = h[order[1:]] == h[order[:-1]]
+                known, later = np.zeros(len(h), dtype=bool), np.zeros(len(h), dtype=bool)
+                if len(order):
+                    known[order[np.append(same, False) | np.append(False, same)]] = True
+                later[order[1:][same]] = True
+                h = np.where(later, mix(h + at.astype(np.uint64) * M2), h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), keys.take(pa.array(row + low)), pa.array(at - offsets[row])], names=["seed", "key", "at"])
+                    [pa.array(h.view(np.int64)), keys.take(pa.array(row + low)), pa.array(at - offsets[row]), pa.array(known)], names=names)
 
     return run
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one partition whose seed occurs more than once."""
+    """Rows of one partition whose seed is known to repeat or occurs more than once."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
@@ -104,7 +115,9 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seed = table.column("seed").to_numpy()
     order = np.argsort(seed, kind="stable")
     same = seed[order[1:]] == seed[order[:-1]]
-    yield from table.select(["key", "at"]).take(pa.array(order[np.append(same, False) | np.append(False, same)])).to_batches()
+    found = table.column("known").to_numpy().copy()
+    found[order[np.append(same, False) | np.append(False, same)]] = True
+    yield from table.select(["key", "at"]).filter(pa.array(found)).to_batches()
 
 
 def sort_keys(data: np.ndarray, at: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -372,11 +385,11 @@ def remove_repeats(
     copies = stored(digests.join(firsts, "digest").where(F.col("key") != F.col("first")).select("key"))
     parts = max(1, count)
     sample = rows.where(hash_share(F.col("key"), min(1.0, SAMPLED_TEXTS / max(1, texts_there)))).mapInArrow(_sample(length, seed), "head binary")
-    heads = sorted(bytes(r[0]) for r in sample.collect())  # from about SAMPLED_TEXTS texts, at most SAMPLED_HEADS of each
+    heads = sorted({bytes(r[0]) for r in sample.collect()})  # from about SAMPLED_TEXTS texts, at most SAMPLED_HEADS of each
     splitters = [heads[i * len(heads) // parts] for i in range(1, parts)] if len(heads) > parts else []
     small = lambda df: df.hint("shuffle_hash")
     marked = texts.join(small(copies.withColumn("copy", F.lit(True))), "key", "left")  # an anti join would pass below the exchange
-    repeated = marked.where("copy is null").select("key", "text").mapInArrow(_anchor_rows(length, seed), "seed long, key long, at long").repartition(
+    repeated = marked.where("copy is null").select("key", "text").mapInArrow(_anchor_rows(length, seed), "seed long, key long, at long, known boolean").repartition(
         count, "seed").mapInArrow(_repeated, "key long, at long")
     places = repeated.groupBy("key").agg(F.collect_list("at").alias("places"))
     runs = texts.join(small(places), "key").select("key", "text", "places").mapInArrow(_runs(length, seed, splitters), "part int, run binary, spans binary")
