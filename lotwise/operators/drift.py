@@ -297,11 +297,14 @@ def scan_summary(scan: DataFrame, day: str = "day_number") -> DataFrame:
 def light_check(
     df: DataFrame, ref: DriftReference, day: str = "day_number", t: DriftThresholds = DriftThresholds()
 ) -> DataFrame:
-    """Daily check with reliability tags: short sides never recommend, features with few values are skipped."""
-    usable = DriftReference(tuple(f for f in ref.features if f.n >= t.min_feature_values), ref.rows)
-    report = psi_report(df, usable, [day], t).where(F.col("n") >= t.min_feature_values)
+    """Daily check with reliability tags: short sides never recommend, and a feature with few values counts as
+    ``insufficient`` instead of drifted."""
+    small = [f.feature for f in ref.features if f.n < t.min_feature_values]
+    few = (F.col("n") < t.min_feature_values) | F.col("feature").isin(*small) if small else F.col("n") < t.min_feature_values
+    report = psi_report(df, ref, [day], t).withColumn("severity", F.when(few, "insufficient").otherwise(F.col("severity")))
     days = df.groupBy(day).agg(F.count("*").alias("analysis_rows"))
-    summary = drift_summary(report, [day], len(usable.features), t)
+    enough = report.groupBy(day).agg(F.count_if(F.col("severity") != "insufficient").alias("measured"))
+    summary = drift_summary(report, [day], len(ref.features), t).join(enough, day)
     joined = days.join(summary, day, "left")
     smaller = F.least(F.col("analysis_rows"), F.lit(ref.rows))
     reliable = smaller >= t.min_reliable_rows
@@ -310,6 +313,7 @@ def light_check(
         day,
         critical.alias("features_critical"),
         F.coalesce(F.col("features_warning"), F.lit(0)).alias("features_warning"),
+        (F.lit(len(ref.features)) - F.coalesce("measured", F.lit(0))).alias("features_insufficient"),
         "feature_psi",
         ((critical >= t.min_drifted_features) & reliable).alias("should_retrain"),
         reliable.alias("drift_reliable"),

@@ -211,19 +211,3 @@ def shift_columns(df: DataFrame, columns: Sequence[str], magnitude: float = 0.5)
     """What-if drift: move columns by a multiple of their population deviation."""
     spread = fit_moments(df, columns)
     return df.withColumns({c: F.col(c) + F.lit(magnitude * spread[c][1]) for c in columns})
-
-
-def weight_summary(df: DataFrame, label: str) -> DataFrame:
-    """Class shares next to their weights."""
-    w = class_weights(df, label)
-    total = Window.partitionBy(F.lit(0))
-    return w.withColumn("share", ratio(F.col("n"), F.sum("n").over(total)))
-
-
-def moments_table(moments: Mapping[str, tuple[float, float]], df: DataFrame) -> DataFrame:
-    """Fitted moments as (feature, mean, deviation) rows."""
-    rows = [
-        F.struct(F.lit(c).alias("feature"), F.lit(m).alias("mean"), F.lit(s).alias("deviation"))
-        for c, (m, s) in moments.items()
-    ]
-    return struct_rows(df.sparkSession.range(1), [], rows)

@@ -83,9 +83,13 @@ def normalized_confusion(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def precision_recall_curve(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score") -> DataFrame:
-    """(by, threshold, pos, neg, tp, fp, n_pos, n_neg, precision, recall), one row per distinct score."""
+    """(by, threshold, pos, neg, tp, fp, n_pos, n_neg, precision, recall), one row per distinct score.
+
+    Rows whose score is null or NaN have no rank and are left out; ``guard_scores`` gives them one.
+    """
     by = list(by)
-    grouped = df.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
+    ranked = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    grouped = ranked.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     totals = grouped.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

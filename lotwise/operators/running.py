@@ -25,7 +25,8 @@ def running_totals(
     """Add inclusive running sums (output name -> summed column) in ascending order of a numeric column.
 
     ``df`` should already be grouped on (by, order). It is cut into value ranges of similar size; totals of
-    the ranges (a handful of rows) are accumulated first and added to the totals within each range.
+    the ranges (a handful of rows) are accumulated first and added to the totals within each range. Null comes first and
+    NaN last, whatever the number of ranges.
     """
     by = list(by)
     n, edges = _range_edges(df, order, rows_per_bucket)
@@ -33,7 +34,7 @@ def running_totals(
         w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
     splits = [-float("inf"), *edges, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(
+    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
         df.withColumn("_order", F.col(order).cast("double"))
     ).drop("_order")
     keys = [*by, "_range"]

@@ -279,7 +279,7 @@ def _(spark, d):
     "SELECT die_key, is_fail FROM dies WHERE is_fail = 1 UNION ALL SELECT die_key, is_fail FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42|', die_key))) AS r FROM dies WHERE is_fail <> 1) "
     "WHERE r <= 10 * (SELECT count(*) FROM dies WHERE is_fail = 1)"))
 def _(spark, d):
-    return balance.undersample(dies(spark, d).select("die_key", "is_fail"), "is_fail", ["die_key"], above=1000)
+    return balance.undersample(dies(spark, d).select("die_key", "is_fail"), "is_fail", ["die_key"])
 
 
 @query("fe16_class_weights", on_dies(
@@ -364,8 +364,21 @@ def _(spark, d):
     return balance.drop_tomek_majority(_points(spark, d), "v", "rare", "vec_id").select("vec_id", "rare")
 
 
-@query("fe04_knn_impute")
+_GAPPY = ["test_temp_c", "cell_leakage_fa", "trp_ns", "trcd_ns"]
+_SQUARES = " + ".join(f"coalesce((q.{c} - t.{c}) * (q.{c} - t.{c}), 0)" for c in _GAPPY)
+_SHARED = " + ".join(f"cast(q.{c} IS NOT NULL AND t.{c} IS NOT NULL AS int)" for c in _GAPPY)
+_FILLED = ", ".join(
+    f"round(coalesce({c}, (SELECT value FROM fill WHERE fill.die_key = dies.die_key AND feature = '{c}'), (SELECT avg({c}) FROM dies WHERE split = 'train')), 6) AS {c}" for c in _GAPPY)
+_FILL_CTES = (
+    "gaps AS (" + " UNION ALL ".join(f"SELECT die_key, '{c}' AS feature, {', '.join(_GAPPY)} FROM dies WHERE {c} IS NULL" for c in _GAPPY) + ")",
+    f"pairs AS (SELECT q.die_key, q.feature, t.die_key AS donor, CASE q.feature {' '.join(f'WHEN {chr(39)}{c}{chr(39)} THEN t.{c}' for c in _GAPPY)} END AS v, "
+    f"sqrt(({_SQUARES}) * {len(_GAPPY)} / nullif({_SHARED}, 0)) AS dist FROM gaps q JOIN dies t ON t.split = 'train')",
+    "near AS (SELECT die_key, feature, unnest(arg_min({'dist': dist, 'v': v}, {'dist': dist, 'donor': donor}, 5), recursive := true) FROM pairs WHERE v IS NOT NULL AND dist IS NOT NULL GROUP BY die_key, feature)",
+    "fill AS (SELECT die_key, feature, CASE WHEN min(dist) = 0 THEN avg(v) FILTER (WHERE dist = 0) ELSE sum(v / dist) / sum(1 / dist) END AS value FROM near GROUP BY die_key, feature)",
+)
+
+
+@query("fe04_knn_impute", on_dies(f"SELECT die_key, {_FILLED} FROM dies", *_FILL_CTES))
 def _(spark, d):
-    df = dies(spark, d).select(*KEYED, "split", "test_temp_c", "cell_leakage_fa", "trp_ns", "rh_susceptibility")
-    cols = ["test_temp_c", "cell_leakage_fa", "trp_ns", "rh_susceptibility"]
-    return clean.knn_impute(df.where("split = 'val'"), df, cols)
+    df = dies(spark, d).select("die_key", "split", *_GAPPY)
+    return rounded(clean.knn_impute(df.where("split = 'train'"), df.drop("split"), _GAPPY, "die_key"))

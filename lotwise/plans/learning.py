@@ -19,7 +19,7 @@ def _rows(spark, d):
 @query("ml01_logistic_regression")
 def _(spark, d):
     df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
-    model = ml.fit_logistic(df.where("split = 'train'"), "is_fail", iterations=100)
+    model = ml.fit_logistic(df.where("split = 'train'"), "is_fail")
     scored = ml.score_rows(model, df.where("split <> 'train'"), ["die_key", "split", "is_fail"])
     return metrics.evaluate(scored.withColumnRenamed("is_fail", "label"))
 
@@ -100,7 +100,7 @@ def _(spark, d):
 
 @query("ml09_isolation_forest")
 def _(spark, d):
-    found = ml.isolation_forest(_rows(spark, d), COLS, KEY, trees=50)
+    found = ml.isolation_forest(_rows(spark, d), COLS, KEY)
     return found.select("die_key", "anomaly", "is_outlier")
 
 

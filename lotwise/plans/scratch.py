@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from lotwise.session import shared_folder
+
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's checkpoint folder, which every executor can reach."""
-    context = spark.sparkContext
-    root = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None)
-    root = root or tempfile.mkdtemp(prefix="lotwise-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

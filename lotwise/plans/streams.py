@@ -18,8 +18,10 @@ _BUCKET = "time_bucket(interval '5 minutes', ts)"
 
 
 def _stream(spark, d):
-    """The event table as a stream of its files."""
-    return landing.file_source(spark, d, _EVENTS, "parquet", pathGlobFilter="events.parquet")
+    """The event table as a stream of files, one a batch, whose last one holds the earliest events."""
+    path = folder(spark, "events")
+    table(spark, d, "events").repartitionByRange(4, F.desc("ts")).write.parquet(path)
+    return landing.file_source(spark, path, _EVENTS, "parquet", files_per_batch=1)
 
 
 def _drain(df, spark, name, keys, columns):
@@ -46,7 +48,7 @@ def _(spark, d):
 
 @query("st07_request_rate_streamed", _RATE)
 def _(spark, d):
-    rate = monitors.request_rate(_stream(spark, d), ["event_type"])
+    rate = monitors.request_rate(_stream(spark, d), ["event_type"], late=None)
     return rounded(_drain(rate, spark, "rate", ["window_start", "window_end", "event_type"], ["requests", "rate"]))
 
 
@@ -97,7 +99,7 @@ def _(spark, d):
 
 @query("st09_fail_share_streamed", _FAIL)
 def _(spark, d):
-    share = monitors.fail_share(_stream(spark, d), F.col("event_type") == "error")
+    share = monitors.fail_share(_stream(spark, d), F.col("event_type") == "error", late=None)
     return rounded(_drain(share, spark, "fails", ["window_start", "window_end"], ["n_total", "fail_share", "fail_rate", "pass_rate"]))
 
 
@@ -139,13 +141,17 @@ def _(spark, d):
     return spark.read.parquet(bad).agg(F.count("*").alias("n_bad"))
 
 
-@query("io11_batch_labels", "SELECT count(*) AS n_rows FROM events WHERE event_id % 50 <> 0")
+@query("io11_batch_labels",
+    "SELECT printf('day_%02d', arg_max(day, (n, -day))) AS label, cast(sum(n) as bigint) AS n_rows FROM (SELECT user_id % 3 AS part, cast(date_diff('day', date '2024-01-01', cast(ts as date)) + 1 as int) AS day, count(*) AS n "
+    "FROM events WHERE event_id % 50 <> 0 GROUP BY ALL) GROUP BY part")
 def _(spark, d):
+    """Three message files, one a batch; which of them comes first is left open, so the batch number is cut off."""
     topic, out = folder(spark, "topic"), folder(spark, "good")
-    _messages(spark, d).write.json(topic)
-    stream = landing.file_source(spark, topic, "key STRING, value STRING", files_per_batch=2)
+    for part in range(3):
+        _messages(spark, d).where(F.col("key").cast("bigint") % 3 == part).coalesce(1).write.mode("append").json(topic)
+    stream = landing.file_source(spark, topic, "key STRING, value STRING", files_per_batch=1)
     landing.land_with_quarantine(stream, out, folder(spark, "bad"), folder(spark, "labels-state"), _MSG).awaitTermination()
-    return landing.batch_labels(spark.read.parquet(out)).agg(F.sum("n_rows").alias("n_rows"))
+    return landing.batch_labels(spark.read.parquet(out)).select(F.regexp_extract("label", "^day_[0-9]+", 0).alias("label"), "n_rows")
 
 
 @query("st05_message_stats", "SELECT count(*) AS messages, count(DISTINCT user_id) AS keys FROM events")
@@ -166,18 +172,20 @@ def _(spark, d):
 
 
 @query("st12_streamed_gate", on_dies(
-    "SELECT 'all' AS model, day_number, critical AS features_critical, since AS days_since_retrain, retrain, critical >= 3 AND NOT retrain AS blocked FROM gate", *quantile_ctes(SIX), report_cte(6), _DAY_GATE, recursive=True))
+    "SELECT 'all' AS model, day_number, critical AS features_critical, since AS days_since_retrain, retrain, critical >= 3 AND NOT retrain AS blocked, false AS late FROM gate", *quantile_ctes(SIX), report_cte(6), _DAY_GATE, recursive=True))
 def _(spark, d):
     df, ref = reference(spark, d)
     path, out = folder(spark, "gate-in"), folder(spark, "gate-out")
     scan = drift.drift_scan(df, ref)
     rows = scan.select(F.lit("all").alias("model"), F.col("day_number").cast("int").alias("day_number"), F.col("features_critical").cast("int").alias("features_critical"), F.lit(True).alias("drift_reliable"))
-    rows.write.parquet(path)
-    stream = landing.file_source(spark, path, rows.schema, "parquet")
+    rows.write.parquet(path + "-all")
+    for first in range(1, 41, 10):  # ten days a file, one file a batch: the state lives on between batches
+        spark.read.schema(rows.schema).parquet(path + "-all").where(F.col("day_number").between(first, first + 9)).coalesce(1).write.mode("append").parquet(path)
+    stream = landing.file_source(spark, path, rows.schema, "parquet", files_per_batch=1)
     run = stream_gate(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(spark, "gate-state"))
     run.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(OUTPUT).parquet(out).select(
-        "model", "day_number", F.col("features_critical").cast("long").alias("features_critical"), "days_since_retrain", "retrain", "blocked")
+        "model", "day_number", F.col("features_critical").cast("long").alias("features_critical"), "days_since_retrain", "retrain", "blocked", "late")
 
 
 @query("st12_gate_per_tester", None)

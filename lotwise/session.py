@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +41,19 @@ def build_session(app: str = "lotwise", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names; a private folder only where none is set."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. In local mode, where one machine does everything, a private folder
+    stands in for it; a cluster without it is an error, because executors would not see each other's files."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lotwise-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

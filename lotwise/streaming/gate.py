@@ -10,15 +10,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lotwise.spec import RetrainPolicy
 
-OUTPUT = "model string, day_number int, features_critical int, days_since_retrain int, retrain boolean, blocked boolean"
+OUTPUT = "model string, day_number int, features_critical int, days_since_retrain int, retrain boolean, blocked boolean, late boolean"
 STATE = "last_retrain_day int, last_seen_day int"
 
 
 def stream_gate(reports: DataFrame, policy: RetrainPolicy = RetrainPolicy(), start_day: int = 0) -> DataFrame:
     """Decisions for a stream of (model, day_number, features_critical, drift_reliable) rows, one per model and day.
 
-    Days are taken in order within a micro-batch. A day that arrives after a later one was decided is skipped:
-    its decision could no longer change the ones already made.
+    Days are taken in order within a micro-batch. A day that arrives after a later one was decided is reported with
+    ``late`` set and never retrains: its decision could no longer change the ones already made.
     """
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -26,13 +26,12 @@ def stream_gate(reports: DataFrame, policy: RetrainPolicy = RetrainPolicy(), sta
         rows = pd.concat(list(batches)).sort_values("day_number")
         out = []
         for r in rows.itertuples():
-            if r.day_number <= seen:
-                continue
+            late = bool(r.day_number <= seen)
             since = int(r.day_number) - last
             drifted = r.features_critical >= policy.min_drifted_features
-            retrain = bool(drifted and since >= policy.min_days_between and r.drift_reliable)
-            out.append((key[0], int(r.day_number), int(r.features_critical), since, retrain, bool(drifted and not retrain)))
-            last, seen = (int(r.day_number) if retrain else last), int(r.day_number)
+            retrain = bool(drifted and since >= policy.min_days_between and r.drift_reliable and not late)
+            out.append((key[0], int(r.day_number), int(r.features_critical), since, retrain, bool(drifted and not retrain), late))
+            last, seen = (int(r.day_number) if retrain else last), max(seen, int(r.day_number))
         state.update((last, seen))
         names = [c.split()[0] for c in OUTPUT.split(", ")]
         yield pd.DataFrame(out, columns=names)

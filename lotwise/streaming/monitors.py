@@ -15,8 +15,9 @@ from lotwise.spec import DriftThresholds
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)
 
 
-def _window(df: DataFrame, ts: str, size: str, slide: str | None, late: str) -> tuple[DataFrame, Column]:
-    marked = df.withWatermark(ts, late) if df.isStreaming else df
+def _window(df: DataFrame, ts: str, size: str, slide: str | None, late: str | None) -> tuple[DataFrame, Column]:
+    """A bounded drain passes ``late=None``: without a watermark no row is late, and the state ends with the run."""
+    marked = df.withWatermark(ts, late) if df.isStreaming and late else df
     return marked, (F.window(ts, size, slide) if slide else F.window(ts, size))
 
 
@@ -27,7 +28,7 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def request_rate(
     df: DataFrame, by: Sequence[str], ts: str = "ts", size: str = "5 minutes", slide: str | None = None,
-    late: str = "10 minutes", seconds: float = 300.0,
+    late: str | None = "10 minutes", seconds: float = 300.0,
 ) -> DataFrame:
     """Requests per second of each group and window."""
     marked, w = _window(df, ts, size, slide, late)
@@ -36,7 +37,7 @@ def request_rate(
 
 def latency_quantiles(
     df: DataFrame, latency: str, by: Sequence[str] = (), ts: str = "ts", size: str = "5 minutes", slide: str | None = None,
-    late: str = "10 minutes", accuracy: int = 1000,
+    late: str | None = "10 minutes", accuracy: int = 1000,
 ) -> DataFrame:
     """p50, p95, p99 from mergeable sketches."""
     marked, w = _window(df, ts, size, slide, late)
@@ -46,7 +47,7 @@ def latency_quantiles(
 
 def latency_buckets(
     df: DataFrame, latency: str, by: Sequence[str] = (), ts: str = "ts", size: str = "5 minutes",
-    bounds: Sequence[float] = LATENCY_BOUNDS, late: str = "10 minutes",
+    bounds: Sequence[float] = LATENCY_BOUNDS, late: str | None = "10 minutes",
 ) -> DataFrame:
     """Cumulative bucket counts ``le_<i>`` and the total of each window, as a metrics endpoint exposes them."""
     marked, w = _window(df, ts, size, None, late)
@@ -69,7 +70,7 @@ def bucket_quantile(buckets: DataFrame, q: float, bounds: Sequence[float] = LATE
 
 def fail_share(
     df: DataFrame, failed: Column, by: Sequence[str] = (), ts: str = "ts", size: str = "5 minutes", slide: str | None = None,
-    late: str = "10 minutes", seconds: float = 300.0,
+    late: str | None = "10 minutes", seconds: float = 300.0,
 ) -> DataFrame:
     """Share of failed predictions, and PASS and FAIL rates, per window."""
     marked, w = _window(df, ts, size, slide, late)
@@ -83,7 +84,7 @@ def fail_share(
     )
 
 
-def mean_batch_size(df: DataFrame, size_column: str, ts: str = "ts", size: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
+def mean_batch_size(df: DataFrame, size_column: str, ts: str = "ts", size: str = "5 minutes", late: str | None = "10 minutes") -> DataFrame:
     marked, w = _window(df, ts, size, None, late)
     return _flat(marked.groupBy(w).agg(F.count("*").alias("batches"), F.avg(size_column).alias("mean_batch_size")))
 
@@ -109,9 +110,3 @@ def psi_from_counts(
     expected = reference_lookup(ref, lambda f: constant_array([p + eps for p in f.proportions]))
     psi = sum_of(F.zip_with(current, expected, lambda a, r: (a - r) * F.ln(a / r)))
     return wide.select(*by, "feature", "n", psi.alias("psi")).withColumn("severity", severity(F.col("psi"), t))
-
-
-def latest_counts(updates: DataFrame, keys: Sequence[str], batch: str = "batch") -> DataFrame:
-    """Last update of each key from an update-mode sink that tags rows with their batch."""
-    return updates.groupBy(*keys).agg(F.max_by("n", batch).alias("n"))
-

@@ -79,6 +79,12 @@ def test_low_data_never_recommends(spark):
     assert r["features_critical"] == 3 and not r["should_retrain"] and not r["drift_reliable"] and r["low_data_warning"]
 
 
+def test_features_with_few_values_are_reported(spark):
+    ref = drift.fit_reference(_normal(spark, 500), ["a", "b", "c"])
+    r = drift.light_check(_normal(spark, 40, 3.0), ref, t=DriftThresholds(min_reliable_rows=10)).first()
+    assert (r["features_insufficient"], r["features_critical"], r["should_retrain"]) == (3, 0, False)
+
+
 def _replay(spark):
     rows = [(d, c, w, True) for d, c, w in zip(range(9, 41), CRITICAL, WARNING)]
     return spark.createDataFrame(rows, "day_number int, features_critical int, features_warning int, drift_reliable boolean")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.functions.losses import focal_loss
-from lotwise.operators import balance, clean, dbscan, features, metrics, ml, neighbors
+from lotwise.operators import balance, clean, dbscan, features, metrics, ml, neighbors, running
 from lotwise.plans import prepare
 from lotwise.spec import FeatureSpec, FocalParams
 
@@ -69,13 +69,59 @@ def test_mode_tie_takes_the_smallest(spark):
     assert clean.fit_modes(df, ["c"]) == {"c": "a"}
 
 
-def test_knn_imputation_and_its_fallback(spark):
-    rows = [(float(i), float(2 * i)) for i in range(20)] + [(7.0, None)]
-    df = spark.createDataFrame(rows, "a double, b double")
-    filled = clean.knn_impute(df, df, ["a", "b"], k=3).collect()
-    assert max(r["b"] for r in filled if r["a"] == 7.0) == 14.0 and all(r["b"] is not None for r in filled)
-    median = clean.knn_impute(df, df, ["a", "b"], donor_limit=5).where("a = 7").collect()
-    assert sorted(r["b"] for r in median) == [14.0, 19.0]
+def _knn(rows, donors, k):
+    out = []
+    for key, *cells in rows:
+        filled = list(cells)
+        for j, cell in enumerate(cells):
+            if cell is not None:
+                continue
+            near = []
+            for d_key, *d in donors:
+                both = [(a - b) ** 2 for a, b in zip(cells, d) if a is not None and b is not None]
+                if d[j] is not None and both:
+                    near.append(((sum(both) * len(cells) / len(both)) ** 0.5, d_key, d[j]))
+            near = sorted(near)[:k]
+            zero = [v for dist, _, v in near if dist == 0]
+            known = [d[1 + j] for d in donors if d[1 + j] is not None]
+            filled[j] = sum(zero) / len(zero) if zero else sum(v / x for x, _, v in near) / sum(1 / x for x, _, v in near) if near else sum(known) / len(known) if known else 0.0
+        out.append((key, *filled))
+    return out
+
+
+@pytest.mark.parametrize("block,query", [(8000, 512), (7, 3)])
+def test_knn_imputation_equals_brute_force(spark, block, query):
+    rng = np.random.default_rng(8)
+    cells = [[None if rng.random() < 0.25 else float(round(v, 1)) for v in row] for row in rng.normal(size=(60, 3))]
+    rows = [(f"k{i:02d}", *c) for i, c in enumerate(cells)] + [("z", None, None, None)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, c double").repartition(4)
+    train = df.where("id < 'k40'")
+    got = {r["id"]: (r["a"], r["b"], r["c"]) for r in clean.knn_impute(train, df, ["a", "b", "c"], "id", 3, block, query).collect()}
+    for key, *want in _knn(rows, [r for r in rows if r[0] < "k40"], 3):
+        assert got[key] == pytest.approx(tuple(want))
+
+
+def test_knn_imputation_has_no_donor_limit(spark):
+    df = spark.range(210_000).select("id", (F.col("id") % 1000).cast("double").alias("a"), F.when(F.col("id") % 30_000 != 7, F.col("id") % 1000 * 2.0).alias("b"))
+    filled = clean.knn_impute(df, df, ["a", "b"], "id").where("id % 30000 = 7")
+    assert filled.rdd.getNumPartitions() >= 1 and [(r["a"], r["b"]) for r in filled.collect()] == [(7.0, 14.0)] * 7
+
+
+def test_nan_scores_do_not_depend_on_size(spark):
+    rows = [(0.1, 0), (0.4, 1), (float("nan"), 1), (None, 0), (0.9, 1), (0.4, 0), (0.7, 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    curve = metrics.precision_recall_curve(df, [])
+    assert curve.agg(F.max("tp"), F.max("fp")).first()[:] == (2, 3)
+    counted = df.groupBy("score").agg(F.count("*").alias("n"))
+    small = running.running_totals(counted, "score", {"upto": "n"})
+    large = running.running_totals(counted, "score", {"upto": "n"}, rows_per_bucket=2)
+    key = lambda r: (str(r["score"]), r["upto"])
+    assert sorted(map(key, small.collect())) == sorted(map(key, large.collect()))
+
+
+def test_undersampling_asks_no_size(spark):
+    df = spark.range(100).withColumn("y", (F.col("id") < 4).cast("int"))
+    assert balance.undersample(df, "y", ["id"]).groupBy("y").count().orderBy("y").collect() == [(0, 40), (1, 4)]
 
 
 @pytest.mark.parametrize("pivots,block", [(1, 8000), (7, 8000), (5, 20)])

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise import session
 from lotwise.operators import quality
 from lotwise.sources import tables as io
 from lotwise.streaming import landing
@@ -69,6 +70,30 @@ def test_gate_state_survives_batches(spark, tmp_path):
     assert sorted(r["day_number"] for r in rows.where("retrain").collect()) == [30, 60]
 
 
+def test_gate_reports_late_days(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "model string, day_number int, features_critical int, drift_reliable boolean"
+    for days in ((50,), (40, 90)):
+        spark.createDataFrame([("m", d, 5, True) for d in days], schema).coalesce(1).write.mode("append").parquet(src)
+        run = stream_gate(landing.file_source(spark, src, schema, "parquet")).writeStream.format("parquet").option("path", out)
+        run.option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    rows = {r["day_number"]: (r["retrain"], r["late"]) for r in spark.read.schema(OUTPUT).parquet(out).collect()}
+    assert rows == {50: (True, False), 40: (False, True), 90: (True, False)}
+
+
+def test_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session)
+
+
 def test_validation_record(spark):
     good, wrong = (45.0, 15.2, 68.5), (-999.0, -1.0, -100.0)
     df = spark.createDataFrame([good, wrong], "test_temp_c double, cell_leakage_fa double, retention_time_ms double")
