@@ -187,6 +187,6 @@ def identify(docs: DataFrame, text: str, model: Filter, keep: list[str]) -> Data
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*inner, "lang_pred", "score"])
 
-    types = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in inner)
-    out = rows.mapInArrow(judge, f"{types}{', ' if types else ''}lang_pred string, score double")
+    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in inner), "lang_pred string, score double"])
+    out = rows.mapInArrow(judge, schema)
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, inner, strict=True)], "lang_pred", "score")

@@ -55,7 +55,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, seed: int) -> tuple
     if n < length:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     if n > PIECE + length:  # a very long text: the strings that start in each piece
-        found = [(start, *anchors(data[start:start + PIECE + length - 1], ends[start:start + PIECE + length - 1] - start, length, seed))
+        size = PIECE + length - 1
+        found = [(start, *anchors(data[start:start + size], np.minimum(ends[start:start + size] - start, size), length, seed))
                  for start in range(0, n, PIECE)]
         at, first = np.unique(np.concatenate([a + s for s, a, _ in found]), return_index=True)
         return at, np.concatenate([h for _, _, h in found])[first]

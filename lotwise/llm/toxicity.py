@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import hash_share, small_batches
+from lotwise.llm.common import hash_share, small_batches, stored
 from lotwise.llm.words import M1, M2, letter_tables, mix, slices, text_bytes, word_hashes
 
-STRONG = 6.0
+STRONG, ASSOCIATED, LEAST_TEXTS = 6.0, 3.5, 4  # standard errors, and texts that must have a bucket
 REPEATED = 0x5851F42D
 STEM = 4
 
@@ -84,43 +84,35 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margins(*terms(column, self.bits), len(column)), -30, 30)))
 
 
-def _association(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """Difference of the bucket's text shares in the two classes, in standard errors."""
-    n1, n0 = max(1, y.sum()), max(1, len(y) - y.sum())
-    hit = np.bincount(bucket, minlength=size)
-    pos = np.bincount(bucket, y[row], size)
+def association(hit: np.ndarray, pos: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Difference of a bucket's text shares in the two classes, in standard errors; 0 for rare buckets."""
+    n1, n0 = max(1, n1), max(1, n0)
     p = (hit + 1) / (n1 + n0 + 2)
     z = (pos / n1 - (hit - pos) / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    return np.where(hit >= 4, z, 0)
+    return np.where(hit >= LEAST_TEXTS, z, 0)
+
+
+def choose(z: np.ndarray, among_marked: np.ndarray, max_terms: int = 4096) -> np.ndarray:
+    """Buckets associated with the label over all texts or among those with a strong bucket, strongest first."""
+    size = np.maximum(np.abs(z), np.abs(among_marked))
+    kept = np.argsort(-size, kind="stable")[:max_terms]
+    return kept[size[kept] > ASSOCIATED]
 
 
 def train(
-    row: np.ndarray, bucket: np.ndarray, y: np.ndarray, weight: np.ndarray, bits: int, factors: int = 8,
-    max_terms: int = 4096, epochs: int = 120, rate: float = 0.2, decay: float = 1e-6, seed: int = 11,
+    row: np.ndarray, place: np.ndarray, y: np.ndarray, weight: np.ndarray, kept: np.ndarray, bits: int, factors: int = 8,
+    epochs: int = 120, rate: float = 0.2, decay: float = 1e-6, seed: int = 11,
 ) -> Machine:
-    """Picks the associated buckets, then fits by mini-batch steps with per-parameter step sizes."""
-    size = 1 << bits
+    """Fits by mini-batch steps with per-parameter step sizes; `place` is a bucket's place among the kept ones."""
     base = float(np.average(y, weights=weight)) if len(y) else 0.0
     bias = float(np.log(max(base, 1e-13) / max(1 - base, 1e-13)))
-    places = np.full(size, -1, dtype=np.int32)
-    if 0 < y.sum() < len(y):
-        z = _association(row, bucket, y, size)
-        marked = np.zeros(len(y), dtype=bool)
-        marked[row[z[bucket] > STRONG]] = True
-        if 0 < y[marked].sum() < marked.sum():
-            inside = marked[row]
-            where = np.cumsum(marked) - 1
-            z = np.where(np.abs(z) > 3.5, np.abs(z), np.abs(_association(where[row[inside]], bucket[inside], y[marked], size)))
-        kept = np.argsort(-np.abs(z), kind="stable")[:max_terms]
-        kept = kept[np.abs(z[kept]) > 3.5]
-        places[kept] = np.arange(len(kept))
-    k = int(places.max()) + 1
+    places = np.full(1 << bits, -1, dtype=np.int32)
+    places[kept] = np.arange(len(kept))
+    k = len(kept)
     rng = np.random.default_rng(seed)
     machine = Machine(bits, places, bias, np.zeros(k), rng.normal(0, 0.05, (k, factors)))
     if not k:
         return machine
-    used = places[bucket] >= 0
-    row, place = row[used], places[bucket[used]]
     cuts = np.searchsorted(row, np.arange(len(y) + 1))
     square_w, square_v, square_b = np.full(k, 1e-6), np.full((k, factors), 1e-6), 1e-6
     weight = weight / weight.mean()
@@ -174,15 +166,67 @@ def fit(
                 [batch.column(0), pa.array([packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
                 names=["y", "bag"])
 
-    taken = rows.mapInArrow(bags, "y int, bag binary").toPandas().sort_values(["y", "bag"]).reset_index(drop=True)
+    held = stored(rows.mapInArrow(bags, "y int, bag binary"))
+    n = {r["y"]: r["count"] for r in held.groupBy("y").count().collect()}
+    size = 1 << bits
+    hit, pos = _count(held, None, size)
+    z = association(hit, pos, n.get(1, 0), n.get(0, 0))
+    strong = np.flatnonzero(z > STRONG)
+    near_hit, near_pos = _count(held, strong, size)
+    # Every text with a strong bucket has that bucket, so the marked texts are counted along, in the last place.
+    among = association(near_hit[:-1], near_pos[:-1], near_pos[-1], near_hit[-1] - near_pos[-1])
+    kept = choose(z, among) if n.get(1, 0) and n.get(0, 0) else np.zeros(0, dtype=np.int64)
+    taken = held.mapInArrow(_places(kept, size), "y int, bag binary").toPandas().sort_values(["y", "bag"])  # few terms of a bounded sample
     y = taken["y"].to_numpy().astype(float)
     bag = [np.frombuffer(b, dtype=np.int32) for b in taken["bag"]]
     row = np.repeat(np.arange(len(bag)), [len(b) for b in bag])
-    packed = np.concatenate(bag) if bag else np.zeros(0, dtype=np.int32)
-    weight = np.array([1 / shares[int(v)] for v in y])
-    if not len(y):
-        return Machine(bits, np.full(1 << bits, -1, dtype=np.int32), -30.0, np.zeros(0), np.zeros((0, factors)))
-    return train(row, packed, y, weight, bits, factors)
+    place = np.concatenate(bag) if bag else np.zeros(0, dtype=np.int32)
+    return train(row, place, y, np.array([1 / shares[int(v)] for v in y]), kept, bits, factors)
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, and row and bucket of every term."""
+    bag = [np.frombuffer(b, dtype=np.int32) for b in batch.column(1).to_pylist()]
+    row = np.repeat(np.arange(len(bag)), [len(b) for b in bag])
+    return batch.column(0).to_numpy(), row, np.concatenate(bag) if bag else np.zeros(0, dtype=np.int32)
+
+
+def _count(held: DataFrame, strong: np.ndarray | None, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and positive texts of every bucket, and in one more place of all texts; with `strong`, only of texts that
+    have one of those buckets. At most `size` + 1 rows come back."""
+    mark = np.ones(size, dtype=bool) if strong is None else np.isin(np.arange(size), strong)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hit, pos = np.zeros(size + 1), np.zeros(size + 1)
+        for batch in batches:
+            y, row, bucket = _unpacked(batch)
+            marked = np.zeros(len(y), dtype=bool)
+            marked[row[mark[bucket]]] = True
+            inside = marked[row]
+            hit[:size] += np.bincount(bucket[inside], minlength=size)
+            pos[:size] += np.bincount(bucket[inside], y[row[inside]], size)
+            hit[size] += marked.sum()
+            pos[size] += y[marked].sum()
+        at = np.flatnonzero(hit)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(hit[at]), pa.array(pos[at])], names=["bucket", "hit", "pos"])
+
+    sums = held.mapInArrow(run, "bucket long, hit double, pos double").groupBy("bucket").agg(F.sum("hit").alias("hit"), F.sum("pos").alias("pos")).toPandas()
+    out = np.zeros((2, size + 1))
+    out[0, sums["bucket"].to_numpy(dtype=int)] = sums["hit"]
+    out[1, sums["bucket"].to_numpy(dtype=int)] = sums["pos"]
+    return (out[0, :-1], out[1, :-1]) if strong is None else (out[0], out[1])
+
+
+def _places(kept: np.ndarray, size: int):
+    places = np.full(size, -1, dtype=np.int32)
+    places[kept] = np.arange(len(kept))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = (places[np.frombuffer(b, dtype=np.int32)] for b in batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b[b >= 0].tobytes() for b in bags], pa.binary())], names=["y", "bag"])
+
+    return run
 
 
 def score(docs: DataFrame, text: str, machine: Machine, keep: list[str], out: str = "score") -> DataFrame:
@@ -198,6 +242,6 @@ def score(docs: DataFrame, text: str, machine: Machine, keep: list[str], out: st
             scores = shared.value.score(batch.column(len(inner)))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(inner))], pa.array(scores)], names=[*inner, "score"])
 
-    types = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in inner)
-    result = rows.mapInArrow(judge, f"{types}, score double")
+    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in inner), "score double"])
+    result = rows.mapInArrow(judge, schema)
     return result.select(*[F.col(n).alias(c) for c, n in zip(keep, inner, strict=True)], F.col("score").alias(out))
