@@ -13,6 +13,7 @@ from lotwise.functions.columns import key_fraction, same_key, stable_key
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 4096
 HASH_BUCKETS = 4096
+ROWS_PER_SLOT = 100_000
 
 
 def running_totals(
@@ -63,21 +64,24 @@ def _range_edges(df: DataFrame, order: str, rows_per_bucket: int) -> tuple[int,
     return n, sorted({e for e in found if abs(e) != float("inf")})
 
 
-def hash_ranked(df: DataFrame, key: Column, by: Sequence[str] = (), rank: str = "rank") -> DataFrame:
+def hash_ranked(df: DataFrame, key: Column, by: Sequence[str] = (), rank: str = "rank", rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """Exact 1-based rank of every row in seeded random order within ``by``.
 
-    The order is an md5 text, so its leading digits already spread each group over equal-sized buckets.
+    The order is an md5 text, so its leading digits already spread each group over equal-sized slots, as many as the
+    table needs. The group is spelled as one text that is never null, so ranking and the join with the slots' offsets
+    share one exchange of the rows.
     """
     by = list(by)
-    hashed = df.withColumn("_key", key).withColumn("_slot", F.floor(key_fraction(F.col("_key")) * HASH_BUCKETS))
-    keys = [*by, "_slot"]
-    sizes = hashed.groupBy(*keys).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys).orderBy("_key")
+    slots = max(1, -(-df.count() // rows_per_slot))
+    group = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
+    hashed = df.withColumns({"_key": key, "_group": group}).withColumn("_slot", F.floor(key_fraction(F.col("_key")) * slots))
+    inside = Window.partitionBy("_group", "_slot").orderBy("_key")
     local = hashed.withColumn("_local", F.row_number().over(inside))
-    joined = local.join(offsets, same_key(local, offsets, keys))
-    return joined.select(*[local[c] for c in df.columns], (F.col("_local") + F.col("_before")).alias(rank))
+    sizes = hashed.groupBy("_group", "_slot").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy("_group").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_group", "_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    joined = local.join(offsets, ["_group", "_slot"])
+    return joined.select(*df.columns, (F.col("_local") + F.col("_before")).alias(rank))
 
 
 def sample_exact(df: DataFrame, n: int, key_columns: Sequence[str], seed: int = 42) -> DataFrame:

@@ -347,7 +347,21 @@ _DIST = "list_distance(p.e, q.e)"
 _PTS = "pts AS (SELECT vec_id, cast(embedding as double[]) AS e, cast(label = 0 as int) AS rare FROM embeddings)"
 
 
-@query("fe14_smote")
+_FRAC = "cast(('0x' || substr(md5({0}), 1, 8)) AS bigint) / 4294967296e0"
+_SMOTE = (
+    _PTS, "rare_pts AS (SELECT vec_id, e FROM pts WHERE rare = 1)",
+    "need AS (SELECT cast(floor(0.3e0 * count(*) FILTER (WHERE rare = 0)) AS bigint) - count(*) FILTER (WHERE rare = 1) AS needed, count(*) FILTER (WHERE rare = 1) AS pos FROM pts)",
+    "nn AS (SELECT p.vec_id, q.vec_id AS donor, q.e AS other, row_number() OVER (PARTITION BY p.vec_id ORDER BY " + _DIST + ", q.vec_id) AS r FROM rare_pts p JOIN rare_pts q ON p.vec_id <> q.vec_id)",
+    "near AS (SELECT * FROM nn WHERE r <= 5)", "sized AS (SELECT vec_id, count(*) AS n FROM near GROUP BY vec_id)",
+    "ranked AS (SELECT vec_id, e, row_number() OVER (ORDER BY md5('42|' || vec_id)) AS r FROM rare_pts)",
+    "seeds AS (SELECT vec_id, e, unnest(range(1, needed // pos + cast(r <= needed % pos AS int) + 1)) AS c FROM ranked, need WHERE needed > 0 AND pos >= 2)",
+    "chosen AS (SELECT s.vec_id, s.e, s.c, n.other, " + _FRAC.format("'42-step|' || s.vec_id || '|' || s.c") + " AS u FROM seeds s JOIN sized z ON z.vec_id = s.vec_id JOIN near n ON n.vec_id = s.vec_id AND n.r = cast(floor("
+    + _FRAC.format("'42-neighbour|' || s.vec_id || '|' || s.c") + " * z.n) AS bigint) + 1)",
+)
+
+
+@query("fe14_smote", "WITH " + ", ".join(_SMOTE) + " SELECT cast(vec_id AS varchar) AS vec_id, e AS v, rare, false AS synthetic FROM pts UNION ALL "
+    "SELECT vec_id || '+' || c, list_transform(range(1, len(e) + 1), lambda i: e[i] + u * (other[i] - e[i])), 1, true FROM chosen")
 def _(spark, d):
     return balance.smote(_points(spark, d), "v", "rare", "vec_id")
 
@@ -378,6 +392,11 @@ _FILL_CTES = (
 )
 
 
+@query("fe15_resample")
+def _(spark, d):
+    return balance.resample(_points(spark, d), "v", "rare", "vec_id").groupBy("rare", "synthetic").agg(F.count("*").alias("n"))
+
+
 @query("fe04_knn_impute", on_dies(f"SELECT die_key, {_FILLED} FROM dies", *_FILL_CTES))
 def _(spark, d):
     df = dies(spark, d).select("die_key", "split", *_GAPPY)

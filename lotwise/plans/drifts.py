@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from lotwise import spec as S
 from lotwise.operators import drift
 from lotwise.plans.bindings import dies, long_cte, on_dies, query, rounded
+from lotwise.plans.scratch import folder
+from lotwise.sources import tables as io
 
 SIX = list(S.KEY_DRIFT_FEATURES)
 DISCRETE = ["correctable_errors_per_1m", "idd4_active_ma", "uncorrectable_in_extended"]
@@ -182,11 +184,14 @@ def _(spark, d):
     return rounded(drift.prediction_drift(df, ["day_number"]))
 
 
-@query("dr14_light_check", on_dies(
+_LIGHT = on_dies(
     "SELECT n.day_number, coalesce(c, 0) AS features_critical, coalesce(w, 0) AS features_warning, coalesce(c, 0) >= 3 AND least(n.n, rn) >= 1400 AS should_retrain, least(n.n, rn) >= 1400 AS drift_reliable, "
     "rn AS ref_rows, n.n AS analysis_rows, round(coalesce(temp, 0), 6) AS temp_psi FROM (SELECT day_number, count(*) AS n FROM dies GROUP BY day_number) n CROSS JOIN (SELECT count(*) AS rn FROM dies WHERE day_number = 1) "
     "LEFT JOIN (SELECT day_number, count(*) FILTER (WHERE psi > 0.2) AS c, count(*) FILTER (WHERE psi > 0.1 AND psi <= 0.2) AS w, max(CASE WHEN feature = 'test_temp_c' THEN psi END) AS temp FROM psi WHERE n >= 100 GROUP BY day_number) USING (day_number)",
-    *quantile_ctes(SIX, "day_number = 1")))
+    *quantile_ctes(SIX, "day_number = 1"))
+
+
+@query("dr14_light_check", _LIGHT)
 def _(spark, d):
     df, ref = reference(spark, d, SIX, days="day_number = 1")
     t = S.DriftThresholds(min_reliable_rows=1400)
@@ -195,6 +200,19 @@ def _(spark, d):
                             F.coalesce(F.element_at("feature_psi", "test_temp_c"), F.lit(0.0)).alias("temp_psi")))
 
 
+@query("io13_report_files", _LIGHT)
+def _(spark, d):
+    """The reports of all days written as one JSON document a day and read back."""
+    df, ref = reference(spark, d, SIX, days="day_number = 1")
+    report = drift.light_check(df, ref, t=S.DriftThresholds(min_reliable_rows=1400)).withColumnRenamed("day_number", "analysis_day")
+    path = folder(spark, "day-reports")
+    report.withColumn("day", F.col("analysis_day")).repartition("day").write.partitionBy("day").json(path)
+    back = io.read_drift_reports(spark, f"{path}/*").withColumnRenamed("analysis_day", "day_number")
+    return rounded(back.select(
+        "day_number", F.col("features_critical").cast("long").alias("features_critical"), F.col("features_warning").cast("long").alias("features_warning"), "should_retrain",
+        "drift_reliable", "ref_rows", "analysis_rows", F.coalesce(F.element_at("feature_psi", "test_temp_c"), F.lit(0.0)).alias("temp_psi")))
+
+
 @query("dr15_psi_matrix", on_dies("SELECT feature, " + ", ".join(f"round(coalesce(max(CASE WHEN day_number = {i} THEN psi END), 0), 6) AS day_{i:02d}" for i in DAYS) + " FROM psi GROUP BY feature", *quantile_ctes(SIX)))
 def _(spark, d):
     df, ref = reference(spark, d)

@@ -61,6 +61,12 @@ def _(spark, d):
     return ml.explained_variance(ml.fit_pca(df, len(COLS)), df)
 
 
+@query("ml06_components_to_90")
+def _(spark, d):
+    df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)
+    return ml.components_for(ml.explained_variance(ml.fit_pca(df, len(COLS)), df))
+
+
 @query("ml06_top_loadings")
 def _(spark, d):
     df = ml.assemble(ml.scaled(_rows(spark, d), COLS), COLS)

@@ -188,7 +188,18 @@ def _(spark, d):
         "model", "day_number", F.col("features_critical").cast("long").alias("features_critical"), "days_since_retrain", "retrain", "blocked", "late")
 
 
-@query("st12_gate_per_tester", None)
+_PER_TESTER = (
+    "td AS (SELECT *, tester_id || '#' || day_number AS td FROM dies)", *quantile_ctes(SIX, key="td", source="td"),
+    "days AS (SELECT split_part(td, '#', 1) AS tester_id, cast(split_part(td, '#', 2) AS int) AS day_number, count(*) FILTER (WHERE psi > 0.2) AS critical FROM psi GROUP BY td)",
+    "seq AS (SELECT *, row_number() OVER (PARTITION BY tester_id ORDER BY day_number) AS i FROM days)",
+    "gate AS (SELECT tester_id, day_number, critical, i, day_number AS since, critical >= 3 AND day_number >= 30 AS retrain, CASE WHEN critical >= 3 AND day_number >= 30 THEN day_number ELSE 0 END AS last FROM seq WHERE i = 1 "
+    "UNION ALL SELECT s.tester_id, s.day_number, s.critical, s.i, s.day_number - g.last, s.critical >= 3 AND s.day_number - g.last >= 30, "
+    "CASE WHEN s.critical >= 3 AND s.day_number - g.last >= 30 THEN s.day_number ELSE g.last END FROM gate g JOIN seq s ON s.tester_id = g.tester_id AND s.i = g.i + 1)",
+)
+
+
+@query("st12_gate_per_tester", on_dies(
+    "SELECT tester_id, day_number, critical AS features_critical, since AS days_since_retrain, retrain, retrain AS retrain_succeeded, critical >= 3 AND NOT retrain AS blocked FROM gate", *_PER_TESTER, recursive=True))
 def _(spark, d):
     df, ref = reference(spark, d)
     report = drift.psi_report(df, ref, ["tester_id", "day_number"])

@@ -50,11 +50,6 @@ def read_landing(spark: SparkSession, path: str, schema: str | T.StructType = PR
     return conform(merged, schema)
 
 
-def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLITS, prefix: str = "") -> dict[str, DataFrame]:
-    """One file per split."""
-    return {n: spark.read.parquet(f"{path}/{prefix}{n}.parquet") for n in names}
-
-
 def split_by_column(df: DataFrame, names: Sequence[str] = SPLITS, column: str = "split") -> dict[str, DataFrame]:
     """One table cut by its split column."""
     return {n: df.where(F.col(column) == n) for n in names}
@@ -147,19 +142,6 @@ def read_drift_reports(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl).option("multiLine", True).json(path)
 
 
-EVENT_LOG_DDL = (
-    "day INT, phase STRING, start_time STRING, end_time STRING, elapsed_sec DOUBLE, events ARRAY<STRUCT<timestamp: STRING, "
-    "category: STRING, event: STRING, rows: BIGINT, parquet_mb: DOUBLE, scenario: STRING, selected_gpu: STRING, "
-    "instance_type: STRING, features_critical: INT, features_warning: INT, feature_psi: MAP<STRING, DOUBLE>, "
-    "drift_reliable: BOOLEAN, should_retrain: BOOLEAN, reason: STRING, days_since_retrain: INT, from_version: STRING, "
-    "to_version: STRING>>"
-)
-
-
-def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_LOG_DDL).option("multiLine", True).json(path)
-
-
 # --- messages -----------------------------------------------------------------------------------
 
 def as_messages(df: DataFrame, key: str = "tester_id") -> DataFrame:
