@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,9 +83,21 @@ def _encode(df: DataFrame, p: Preparation) -> DataFrame:
 
 
 def fit(train: DataFrame, spec: FeatureSpec = DRAM, strict_bounds: bool = False) -> Preparation:
-    """Three dependent passes: medians and modes; quartiles of the imputed rows; moments of the encoded rows."""
+    """Three dependent passes: medians and modes; quartiles of the imputed rows; moments of the encoded rows.
+
+    All of them read one copy of the columns they need, which is kept only while fitting.
+    """
     numeric = [c for c in spec.numeric if c in train.columns]
     categorical = [c for c in spec.categorical if c in train.columns]
+    needed = [c for c in train.columns if c in {*numeric, *categorical, *spec.all_features}]
+    train = train.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, spec, numeric, categorical, strict_bounds)
+    finally:
+        train.unpersist()
+
+
+def _fit(train: DataFrame, spec: FeatureSpec, numeric: list[str], categorical: list[str], strict_bounds: bool) -> Preparation:
     medians = clean.fit_medians(train, numeric)
     modes = clean.fit_modes(train, categorical)
     codes = _small_or_stored(features.category_codes(clean.impute(train, modes), categorical))
