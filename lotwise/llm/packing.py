@@ -39,6 +39,7 @@ RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 # Fixed value: the pre-tokenizer's pattern of byte-level vocabularies of this family.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 K1, B = 1.2, 0.75
+FIRST_ASKED = 24
 _coders: dict[tuple[str, int], Coder] = {}
 
 
@@ -91,7 +92,7 @@ class Coder:
             found = [self.piece(" " + part) for part in missing]
         for i, part, code in zip(at, missing, found, strict=True):
             codes[i] = code
-            if len(part) <= CACHED_CHARS:
+            if len(part) <= CACHED_CHARS and len(self.later) < CACHED:  # the first ones are the frequent ones
                 self.later[part] = code
 
     def ids(self, text: str | None) -> np.ndarray:
@@ -102,8 +103,6 @@ class Coder:
             return np.frombuffer(array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + last, dtype=self.kind)
         plain = not ("  " in text or " \n" in text or "\n " in text or any(c in text for c in RARE_SPACES) or text[:1] == " " or text[-1:] == " ")
         parts = text.split(" ") if plain else LONE_BLANK.split(text)
-        if len(self.later) > CACHED:
-            self.later.clear()
         codes = [self.piece(parts[0]), *map(self.later.get, parts[1:])]
         if None in codes:
             self.fill(codes, parts, plain)
@@ -194,10 +193,11 @@ class Shard:
         self.n, self.query_terms = len(rests), query_terms
         doc, term, tf = [], [], []
         for i, ids in enumerate(rests):
-            t, c = np.unique(ids, return_counts=True)
-            doc.append(np.full(len(t), i, dtype=np.int32))
-            term.append(t.astype(np.int32))
-            tf.append(c)
+            ordered = np.sort(ids, kind="stable")  # by counting, as ids have 16 bits
+            first = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
+            doc.append(np.full(len(first), i, dtype=np.int32))
+            term.append(ordered[first].astype(np.int32))
+            tf.append(np.diff(np.append(first, len(ids))))
         self.cuts = np.concatenate([[0], np.cumsum([len(t) for t in term])])
         doc_, self.term, tf_ = np.concatenate(doc), np.concatenate(term), np.concatenate(tf)
         norm = K1 * (1 - B + B * np.array([len(r) for r in rests]) / average)
@@ -206,8 +206,8 @@ class Shard:
         self.posted, self.impact = doc_[order], self.weight[order]
         self.lists = np.searchsorted(self.term[order], np.arange(len(idf) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused rests that share one of the seed's weightiest terms, best first."""
+    def neighbours(self, seed: int, unused: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused rests that share one of the seed's weightiest terms, best first; all, or at least the `most` best."""
         part = slice(self.cuts[seed], self.cuts[seed + 1])
         terms = self.term[part]
         if len(terms) > self.query_terms:
@@ -216,6 +216,8 @@ class Shard:
         score = np.bincount(np.concatenate([self.posted[w] for w in where]), np.concatenate([self.impact[w] for w in where]), self.n)
         score[~unused] = 0
         hits = np.flatnonzero(score)
+        if most is not None and len(hits) > most:
+            hits = hits[score[hits] >= np.partition(score[hits], -most)[-most]]
         return hits[np.lexsort((hits, -score[hits]))]
 
 
@@ -232,8 +234,8 @@ def fill_order(index: Shard, lengths: np.ndarray, window: int) -> list[int]:
             unused[seed] = False
             order.append(seed)
             room -= lengths[seed]
-        if room > 0:
-            for other in index.neighbours(seed, unused):
+        for most in (FIRST_ASKED, None):  # mostly a few neighbours fill the window
+            for other in index.neighbours(seed, unused, most) if room > 0 else ():
                 unused[other] = False
                 order.append(int(other))
                 room -= lengths[other]
