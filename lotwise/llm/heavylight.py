@@ -12,7 +12,8 @@ list emits its pairs.
 
 The connected candidates form families. In a family the sets themselves are compared exactly: a family is dealt to blocks
 of about `block_sets` sets or `block_items` shingles, each pair of blocks is one group, and it emits a spanning forest of
-its true links. The components of those links are the result.
+its true links. The components of those links are the result. The members' ids are sent to all tasks only while there are
+at most `broadcast_rows` of them; beyond that, texts and members are joined by an exchange.
 
 Defined cases: null texts and texts without words have an empty set, no links and themselves as component; a text with
 fewer words than `width` is one shingle; rows that repeat an id share its smallest component; null ids are kept as
@@ -299,6 +300,7 @@ def _compare(percent: int):
 
 def jaccard_components(
     docs: DataFrame, key: str, text: str, width: int = 3, percent: int = 90, block_sets: int = 256, block_items: int = 1 << 20,
+    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """key, n_shingles, component of every row; component is the smallest linked key, its own without links."""
     spark = docs.sparkSession
@@ -334,6 +336,8 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(blobs, pa.binary())], names=["sid", "items"])
 
     wanted = members.select("sid", F.col("key").alias("of"))
+    if members.count() <= broadcast_rows:  # two numbers a row; beyond that the texts are exchanged
+        wanted = F.broadcast(wanted)
     items = rows.join(wanted, F.col("key") == F.col("of")).select("sid", "text").mapInArrow(collect, "sid long, items binary")
     links = spread_out.join(items, "sid").select("family", "p.low", "p.high", "p.side", "sid", "items").groupBy("family", "low", "high").applyInArrow(
         _compare(percent), "a long, b long")
