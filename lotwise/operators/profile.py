@@ -8,10 +8,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions.columns import long_form, ratio, right_closed_bin, same_key, struct_rows, width_bin
+from lotwise.functions.columns import join_same, long_form, ratio, right_closed_bin, same_key, struct_rows, width_bin
 from lotwise.operators.quantiles import approx_quantiles, exact_quantiles
 from lotwise.spec import BusinessCosts
 
+GROUPS_IN_PLAN = 2_000
+
 
 def daily_fail_rate(df: DataFrame, day: str = "day_number", label: str = "is_fail") -> DataFrame:
     return (
@@ -393,18 +395,38 @@ def stage_rates(stages: DataFrame) -> DataFrame:
 
 
 def density_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bins: int = 50) -> DataFrame:
-    """(by, feature, bin, low, high, n, density) on the value range of each group; the densities integrate to one."""
+    """(by, feature, bin, low, high, n, density) on the value range of each group; the densities integrate to one.
+
+    The ranges of up to GROUPS_IN_PLAN groups become literals, so rows are binned where they are and only counts travel;
+    more groups are joined with their ranges.
+    """
+    by, keys = list(by), [*by, "feature"]
     span = feature_moments(df, columns, by).select(*by, "feature", F.col("min").alias("lo"), F.col("max").alias("hi"), F.col("n").alias("total"))
     flat = F.col("lo") == F.col("hi")
     span = span.withColumns({"lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))})
-    values = long_form(df, columns, by)
-    keys = [*by, "feature"]
-    joined = values.join(span, same_key(values, span, keys)).select(
-        *[values[k] for k in keys], "lo", "hi", "total",
-        width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"),
-    )
+    group = F.concat_ws("|", F.lit(""), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in by])
+    few = span.withColumn("_group", group).limit(GROUPS_IN_PLAN + 1).collect()
+    if len(few) <= GROUPS_IN_PLAN:
+        binned = {}
+        for c in columns:
+            pairs = [x for r in few if r["feature"] == c and r["lo"] is not None for x in (F.lit(r["_group"]), F.struct(F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi")))]
+            if pairs:
+                range_ = F.element_at(F.create_map(*pairs), F.col("_group"))
+                binned[c] = width_bin(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), range_["lo"], range_["hi"], bins)
+        if not binned:
+            return span.select(*keys, *[F.lit(None).cast(t).alias(n) for n, t in (("bin", "int"), ("low", "double"), ("high", "double"), ("n", "long"), ("density", "double"))]).limit(0)
+        wide = df.withColumn("_group", group).select(*by, *[b.alias(c) for c, b in binned.items()])
+        found = wide.unpivot(by, list(binned), "feature", "bin").where(F.col("bin").isNotNull())
+        joined = join_same(found.groupBy(*keys, "bin").agg(F.count("*").alias("n")), span, keys)
+    else:
+        values = long_form(df, columns, by)
+        ranged = values.join(span, same_key(values, span, keys)).select(
+            *[values[k] for k in keys], "lo", "hi", "total",
+            width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"),
+        )
+        joined = ranged.groupBy(*keys, "lo", "hi", "total", "bin").agg(F.count("*").alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
-    return joined.groupBy(*keys, "lo", "hi", "total", "bin").agg(F.count("*").alias("n")).select(
+    return joined.select(
         *keys,
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("low"),

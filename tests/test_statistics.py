@@ -85,3 +85,12 @@ def test_patterns_and_stage_rates(spark):
     assert {r["pattern"]: r["n"] for r in profile.missing_patterns(df, ["a", "b"]).collect()} == {"10": 1, "11": 1, "00": 1}
     stages = spark.createDataFrame([("x", 100, 2.0), ("y", 50, 0.0)], "stage string, n_rows long, seconds double")
     assert {r["stage"]: r["rows_per_sec"] for r in profile.stage_rates(stages).collect()} == {"x": 50.0, "y": 0.0}
+
+
+def test_density_does_not_depend_on_the_number_of_groups(spark, monkeypatch):
+    rows = [(1, "a", 1.0, 2.0), (1, "a", 3.0, None), (None, "b", 5.0, float("nan")), (2, None, 7.0, 7.0), (2, None, 7.0, 9.0)]
+    df = spark.createDataFrame(rows, "k int, t string, x double, y double")
+    key = lambda r: str(tuple(r))
+    literal = sorted(map(key, profile.density_histogram(df, ["x", "y"], ["k", "t"], 4).collect()))
+    monkeypatch.setattr(profile, "GROUPS_IN_PLAN", 0)
+    assert literal == sorted(map(key, profile.density_histogram(df, ["x", "y"], ["k", "t"], 4).collect())) and len(literal) == 7
