@@ -13,7 +13,7 @@ from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.functions.columns import edge_bin, long_form, same_key, weighted_class, width_bin
+from lotwise.functions.columns import edge_bin, join_same, long_form, same_key, weighted_class, width_bin
 from lotwise.operators.quantiles import quantile_table
 from lotwise.operators.running import running_totals
 from lotwise.spec import DriftThresholds
@@ -388,6 +388,27 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, features: Sequence[s
     )
 
 
+def ks_by_group(reference: DataFrame, current: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, feature, n_reference, n_current, ks_statistic, ks_pvalue): every group of ``current`` against the same reference.
+
+    The reference is ranked once. Between two values of a group its own distribution stands still, so the largest gap
+    is at one of its values or just before it, and the reference need not be repeated for each group.
+    """
+    by, keys = list(by), [*by, "feature"]
+    own = long_form(current, features, by).groupBy(*keys, "value").agg(F.count("*").alias("cur"))
+    known = long_form(reference, features).withColumn("ref", F.lit(1)).select("feature", "value", "ref").unionByName(
+        own.select("feature", "value", F.lit(0).alias("ref")))
+    ranked = running_totals(known.groupBy("feature", "value").agg(F.sum("ref").alias("ref")), "value", {"ref_upto": "ref"}, ["feature"])
+    n_ref = long_form(reference, features).groupBy("feature").agg(F.count("*").alias("n_reference"))
+    n_own = own.groupBy(*keys).agg(F.sum("cur").alias("n_current"))
+    mine = running_totals(own, "value", {"cur_upto": "cur"}, keys)
+    joined = join_same(join_same(join_same(mine, ranked, ["feature", "value"]), n_own, keys), n_ref, ["feature"])
+    r, c = F.col("ref_upto") / F.col("n_reference"), F.col("cur_upto") / F.col("n_current")
+    before = (F.col("ref_upto") - F.col("ref")) / F.col("n_reference") - (F.col("cur_upto") - F.col("cur")) / F.col("n_current")
+    out = joined.groupBy(*keys, "n_reference", "n_current").agg(F.max(F.greatest(F.abs(r - c), F.abs(before))).alias("ks_statistic"))
+    return out.withColumn("ks_pvalue", kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+
+
 def ks_normal(df: DataFrame, ref: DriftReference, feature: str) -> DataFrame:
     """One-sample test against the normal curve of the stored mean and deviation (distributed sort)."""
     f = next(x for x in ref.features if x.feature == feature)

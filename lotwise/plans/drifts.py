@@ -96,6 +96,19 @@ def _(spark, d):
     return rounded(ks.select("feature", "n_reference", "n_current", "ks_statistic"))
 
 
+@query("dr04_ks_daily", on_dies(
+    "SELECT day_number, feature, n_reference, n_current, round(max(abs(ref_below / n_reference - cur_below / n_current)), 6) AS ks_statistic FROM ("
+    "SELECT day_number, feature, value, sum(ref) OVER w AS ref_below, sum(cur) OVER w AS cur_below, cast(sum(ref) OVER (PARTITION BY day_number, feature) as bigint) AS n_reference, "
+    "cast(sum(cur) OVER (PARTITION BY day_number, feature) as bigint) AS n_current FROM (SELECT g.day_number, feature, value, count(*) FILTER (WHERE side = 'r') AS ref, count(*) FILTER (WHERE side = 'c') AS cur FROM ("
+    "SELECT d.day_number, feature, value, 'r' AS side FROM long, (SELECT DISTINCT day_number FROM dies WHERE day_number > 8) d WHERE long.day_number <= 8 "
+    "UNION ALL SELECT day_number, feature, value, 'c' FROM long WHERE day_number > 8) g GROUP BY ALL) "
+    "WINDOW w AS (PARTITION BY day_number, feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY ALL", long_cte(SIX, keep="day_number")))
+def _(spark, d):
+    df = dies(spark, d)
+    ks = drift.ks_by_group(df.where("day_number <= 8"), df.where("day_number > 8"), SIX, ["day_number"])
+    return rounded(ks.select("day_number", "feature", "n_reference", "n_current", "ks_statistic"))
+
+
 @query("dr04_ks_against_stored_normal")
 def _(spark, d):
     df, ref = reference(spark, d, ["test_temp_c"], drift.WIDTH)
