@@ -6,18 +6,18 @@ a size boundary are *light*: they enumerate the fixed-size subsets a similar par
 shingles come last; any order gives all links, this one keeps the lists short. The boundary is chosen by cost from the
 size histogram and the list lengths. A large set is cut into groups by its shingles' hashes: the similarity of two sets
 is a weighted mean of the similarities of their groups, so linked sets have a group that is as similar as they must be,
-and groups of about GROUP shingles can be listed instead. Lists carry a 256-bit parity sketch of each group, a lower
+and groups of about GROUP shingles can be listed instead. Lists carry a 128-bit parity sketch of each group, a lower
 bound on the difference of two, so a list only connects entries that may be linked, and only by a spanning forest: no
 list emits its pairs.
 
 The connected candidates form families. In a family the sets themselves are compared exactly: a family is dealt to blocks
 of about `block_sets` sets or `block_items` shingles, each pair of blocks is one group, and it emits a spanning forest of
-its true links. The components of those links are the result. The members' ids are sent to all tasks only while there are
-at most `broadcast_rows` of them; beyond that, texts and members are joined by an exchange.
+its true links. The components of those links are the result. The members' places are sent to all tasks only while they
+are at most `broadcast_rows` rows; beyond that, texts and places are joined by an exchange.
 
 Defined cases: null texts and texts without words have an empty set, no links and themselves as component; a text with
-fewer words than `width` is one shingle; rows that repeat an id share its smallest component; null ids are kept as
-their own rows with a null component. Only id and text are read. Sets are told apart by the 64-bit sum of their
+fewer words than `width` is one shingle; rows that repeat an id share its smallest component; rows without an
+id take the component of rows with an equal set, else null. Only id and text are read. Sets are told apart by the 64-bit sum of their
 shingles' hashes together with their size.
 """
 
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from lotwise.llm.common import components, partitions, small_batches, stored
 from lotwise.llm.words import M1, M2, mix, shingles, slices, text_bytes, word_hashes
 
-SKETCH_WORDS = 4
-GROUP = 300
+SKETCH_WORDS = 2
+GROUP = 128
 LATE = 1 << 16  # shingles that are ordered last: a fixed number, sent to all tasks
 MASK = (1 << 64) - 1
 
@@ -95,7 +95,7 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int, most: int
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements in each of 256 classes."""
+    """Parity of the number of elements in each of 128 classes."""
     h = mix(s * M2)
     bits = np.bincount((h & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
@@ -300,7 +300,7 @@ def _compare(percent: int):
 
 def jaccard_components(
     docs: DataFrame, key: str, text: str, width: int = 3, percent: int = 90, block_sets: int = 256, block_items: int = 1 << 20,
-    broadcast_rows: int = 2_000_000,
+    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """key, n_shingles, component of every row; component is the smallest linked key, its own without links."""
     spark = docs.sparkSession
@@ -323,24 +323,26 @@ def jaccard_components(
     members = stored(classes.join(families, F.col("sid") == F.col("id")).select("sid", "key", "n", F.col("component").alias("family")))
     size = members.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / block_sets, F.sum("n") / block_items)).cast("int").alias("parts"))
     dealt = members.join(size, "family").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    spread_out = dealt.select("sid", "key", "family", F.explode(F.expr("""
+    places = dealt.select("sid", F.col("key").alias("of"), "family", F.explode(F.expr("""
         transform(sequence(0, parts - 1), o -> named_struct('low', least(o, block), 'high', greatest(o, block), 'side', int(block > o)))""")).alias("p"))
+    places = stored(places.select("sid", "of", "family", "p.low", "p.high", "p.side"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, blobs, ids = [], [], batch.column(0).to_pylist()
-            for i, s in text_sets(batch.column(1), width):
+            for i, s in text_sets(batch.column(5), width):
                 if set_id(s) == ids[i]:  # of rows that repeat an id, those with the wanted set
                     at.append(i)
                     blobs.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(blobs, pa.binary())], names=["sid", "items"])
-
-    wanted = members.select("sid", F.col("key").alias("of"))
-    if members.count() <= broadcast_rows:  # two numbers a row; beyond that the texts are exchanged
-        wanted = F.broadcast(wanted)
-    items = rows.join(wanted, F.col("key") == F.col("of")).select("sid", "text").mapInArrow(collect, "sid long, items binary")
-    links = spread_out.join(items, "sid").select("family", "p.low", "p.high", "p.side", "sid", "items").groupBy("family", "low", "high").applyInArrow(
-        _compare(percent), "a long, b long")
+            kept = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i).take(kept) for i in range(5)], pa.array(blobs, pa.binary())], names=["sid", "family", "low", "high", "side", "items"])
+
+    if places.count() <= broadcast_rows:  # six numbers a row; beyond that the texts are exchanged
+        places = F.broadcast(places)
+    items = rows.join(places, F.col("key") == F.col("of")).select("sid", "family", "low", "high", "side", "text").mapInArrow(
+        collect, "sid long, family long, low int, high int, side int, items binary")
+    links = items.groupBy("family", "low", "high").applyInArrow(_compare(percent), "a long, b long")
     merged = components(links, "a", "b")
     smallest = merged.join(classes, F.col("id") == F.col("sid")).groupBy("component").agg(F.min("key").alias("least"))
     found = merged.join(smallest, "component").select(F.col("id").alias("sid"), "least")
