@@ -246,6 +246,37 @@ def test_passages(spark):
     assert chaining.passages(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
 
 
+def test_thinned():
+    """Runs of matches keep one in k and the last, and the weights add up to all matches."""
+    at, source = np.array([3, 1, 2, 0, 4, 5, 6, 9, 2]), np.array([13, 11, 12, 10, 14, 15, 16, 40, 30])
+    assert chaining.thinned(at, source, 5) == ([0, 2, 5, 6, 9], [10, 30, 15, 16, 40], [1.0, 1.0, 5.0, 1.0, 1.0])
+
+
+@pytest.mark.parametrize("identity,least", [(0.8, 0.95), (0.85, 0.97), (0.9, 0.97), (0.95, 0.97), (1.0, 1.0)])
+def test_recall_of_passages(spark, identity, least):
+    """Every planted passage by its place in both documents, with substituted words spread over 60."""
+    rng = random.Random(7)
+    rows, want = [], []
+    for i in range(150):
+        base = [rng.choice(WORDS) for _ in range(60)]
+        copy = list(base)
+        for x in rng.sample(range(60), round(60 * (1 - identity))):
+            copy[x] = "edit" + copy[x]
+        head = [[f"h{i}x{j}x{x}" for x in range(rng.randint(5, 60))] for j in range(2)]
+        rows += [(2 * i + j, " ".join([*head[j], *w, *(f"t{i}x{j}x{x}" for x in range(30))])) for j, w in enumerate((base, copy))]
+        want.append((2 * i, len(head[0]), 2 * i + 1, len(head[1])))
+    found = {}
+    for r in chaining.passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect():
+        found.setdefault((r.source, r.key), []).append(r)
+
+    def covered(a, a0, b, b0):
+        return any(min(r.source_end, a0 + 60) - max(r.source_start, a0) >= 45 and min(r.end, b0 + 60) - max(r.start, b0) >= 45 for r in found.get((a, b), []))
+
+    share = sum(covered(*w) for w in want) / len(want)
+    print("recall", identity, share)
+    assert share >= least
+
+
 def test_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, connect(sf), sf, "op4", queries.op4_heavy_light_join, queries.OP4_SQL)["status"] == "match"
