@@ -273,10 +273,38 @@ def test_recall_of_passages(spark, identity, least):
         return any(min(r.source_end, a0 + 60) - max(r.source_start, a0) >= 45 and min(r.end, b0 + 60) - max(r.start, b0) >= 45 for r in found.get((a, b), []))
 
     share = sum(covered(*w) for w in want) / len(want)
-    print("recall", identity, share)
     assert share >= least
 
 
+def window_pairs(rows, n):
+    """Places of runs of n words that an earlier document has, with those documents."""
+    texts, seen, out = {d: t.split() for d, t in rows}, {}, []
+    for d in sorted(texts):
+        mine = [(i, tuple(texts[d][i:i + n])) for i in range(len(texts[d]) - n + 1)]
+        out += [(d, i, set(seen[w])) for i, w in mine if w in seen]
+        for _, w in mine:
+            seen.setdefault(w, set()).add(d)
+    return out
+
+
+def test_passages_whose_parts_are_elsewhere(spark):
+    """Every run of 50 words that an earlier document has, against brute force."""
+    rng = random.Random(8)
+    line = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    a, b = line(30), line(30)
+    rows = [(2, [*line(9), *a, *b, *line(9)]), (1, [*line(4), *a, *line(20)]), (0, [*b, *line(20)]), (3, [*line(20), *a, *line(5)]), (4, [*line(7), *b, *line(30)]),
+            (5, [*line(12), *a, *b, *line(40)])]
+    lines = [line(25) for _ in range(5)]
+    rows += [(d, [w for _ in range(rng.randint(1, 4)) for w in (*rng.choice(lines), *(line(20) if rng.random() < 0.2 else []))]) for d in range(6, 120)]
+    rows = [(d, " ".join(t)) for d, t in rows]
+    got = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert any((r.key, r.source) == (5, 2) and r.end - r.start >= 60 for r in got)
+    want = window_pairs(rows, 50)
+    assert len(want) > 300
+    missed = [(d, i) for d, i, of in want if not any(r.key == d and r.start <= i and i + 50 <= r.end and r.source in of for r in got)]
+    assert missed == []
+
+
 def test_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, connect(sf), sf, "op4", queries.op4_heavy_light_join, queries.OP4_SQL)["status"] == "match"
