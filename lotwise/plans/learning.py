@@ -24,25 +24,28 @@ def _(spark, d):
     return metrics.evaluate(scored.withColumnRenamed("is_fail", "label"))
 
 
+def _boosted(spark, d, **given):
+    """All rows with their features, and the model fitted on the training days, stopped by the validation rows."""
+    df = ml.assemble(_rows(spark, d), COLS).withColumn("is_val", F.col("split") == "val")
+    return df, ml.fit_boosted_trees(df.where("split IN ('train', 'val')"), "is_fail", validation="is_val", **given)
+
+
 @query("ml02_boosted_trees")
 def _(spark, d):
-    df = ml.assemble(_rows(spark, d), COLS).withColumn("is_val", F.col("split") == "val")
-    model = ml.fit_boosted_trees(df.where("split IN ('train', 'val')"), "is_fail", trees=10, depth=4, validation="is_val")
-    return ml.score_rows(model, df.where("split = 'test'"), ["die_key", "is_fail"])
+    df, model = _boosted(spark, d)
+    return ml.score_rows(model, df.where("split <> 'train'"), ["die_key", "is_fail"])
 
 
 @query("ml03_boosted_trees_wide")
 def _(spark, d):
-    df = ml.assemble(_rows(spark, d), COLS)
-    model = ml.fit_boosted_trees(df.where("split = 'train'"), "is_fail", trees=5, depth=5, step=0.05, subsample=1.0)
-    return ml.score_rows(model, df.where("split = 'unseen'"), ["die_key", "is_fail"])
+    df, model = _boosted(spark, d, step=0.05, subsample=1.0)
+    return ml.score_rows(model, df.where("split <> 'train'"), ["die_key", "is_fail"])
 
 
 @query("ml04_top_importances")
 def _(spark, d):
-    df = ml.assemble(_rows(spark, d), COLS)
-    model = ml.fit_boosted_trees(df, "is_fail", trees=5, depth=4)
-    return ml.top_importances(model, COLS, df, 5)
+    df, model = _boosted(spark, d)
+    return ml.top_importances(model, COLS, df)
 
 
 @query("ml05_score_foreign", on_dies("SELECT die_key, round(1 / (1 + exp(-(0.1e0 * (test_temp_c - 85) + 2e0 * rh_susceptibility - 1e0))), 6) AS score FROM dies"))
