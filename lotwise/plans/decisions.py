@@ -109,9 +109,13 @@ _REG = (
 )
 
 
-def _registry(spark, d):
+_REG_DAILY = _REG.replace(" FROM daily WHERE day_number % 3 = 0)", " FROM daily)")
+
+
+def _registry(spark, d, every=3):
+    """A version for one day in ``every``; the queries with _daily in their names take all days."""
     day = F.col("day_number")
-    return _daily_scores(spark, d).where(day % 3 == 0).select(
+    return _daily_scores(spark, d).where(day % every == 0).select(
         "day_number", F.concat(F.lit("v"), day.cast("string")).alias("version"), "new_auc_pr",
         ((F.col("new_auc_pr") > 0.32) & (day < 39)).alias("canary_passed"),
     )
@@ -123,6 +127,12 @@ def _(spark, d):
     return rounded(lifecycle.champion_history(_registry(spark, d)).drop("new_auc_pr"), 9)
 
 
+@query("lc06_champion_history_daily", on_dies(
+    "SELECT day_number, version, canary_passed, champion, round(champion_metric, 9) AS champion_metric, previous_champion, CASE WHEN canary_passed THEN 'promote' ELSE 'rollback' END AS action FROM history", _DAILY, _REG_DAILY))
+def _(spark, d):
+    return rounded(lifecycle.champion_history(_registry(spark, d, 1)).drop("new_auc_pr"), 9)
+
+
 @query("lc06_champion_at_day", on_dies(
     "SELECT d.day_number, h.champion, round(h.champion_metric, 9) AS champion_metric FROM (SELECT DISTINCT day_number FROM dies) d ASOF LEFT JOIN history h ON d.day_number >= h.day_number", _DAILY, _REG))
 def _(spark, d):
@@ -130,6 +140,13 @@ def _(spark, d):
     return rounded(lifecycle.champion_at(days, lifecycle.champion_history(_registry(spark, d))), 9)
 
 
+@query("lc06_champion_at_day_daily", on_dies(
+    "SELECT d.day_number, h.champion, round(h.champion_metric, 9) AS champion_metric FROM (SELECT DISTINCT day_number FROM dies) d ASOF LEFT JOIN history h ON d.day_number >= h.day_number", _DAILY, _REG_DAILY))
+def _(spark, d):
+    days = dies(spark, d).select("day_number").distinct()
+    return rounded(lifecycle.champion_at(days, lifecycle.champion_history(_registry(spark, d, 1))), 9)
+
+
 @query("lc07_promote_if_better", on_dies("SELECT day_number, new_auc_pr > old_auc_pr * 1.1e0 + 0.02e0 AS promote FROM daily", _DAILY))
 def _(spark, d):
     pairs = _daily_scores(spark, d).withColumn("current_auc_pr", F.col("old_auc_pr") * 1.1)
@@ -182,6 +199,15 @@ def _(spark, d):
     return out.withColumn("version_index", F.col("version_index").cast("long"))
 
 
+@query("lc13_version_steps_daily", on_dies(
+    "SELECT day_number, model_version, dense_rank() OVER (ORDER BY f) - 1 AS version_index, coalesce(lag(model_version) OVER (ORDER BY day_number) <> model_version, false) AS is_transition FROM ("
+    "SELECT day_number, champion AS model_version, min(day_number) OVER (PARTITION BY champion) AS f FROM history WHERE champion IS NOT NULL)", _DAILY, _REG_DAILY))
+def _(spark, d):
+    h = lifecycle.champion_history(_registry(spark, d, 1)).where("champion IS NOT NULL")
+    out = lifecycle.version_steps(h.select("day_number", F.col("champion").alias("model_version")))
+    return out.withColumn("version_index", F.col("version_index").cast("long"))
+
+
 _LOG_STRUCT = "array(named_struct('category', 'data_generation', 'event', 'completed', 'rows', n, 'feature', cast(null as string)), named_struct('category', 'drift_detection', 'event', sev, 'rows', n, 'feature', feature))"
 
 
