@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -417,3 +418,11 @@ def ks_normal(df: DataFrame, ref: DriftReference, feature: str) -> DataFrame:
     return test.select(
         F.lit(feature).alias("feature"), F.col("statistic").alias("ks_statistic"), F.col("pValue").alias("ks_pvalue")
     )
+
+
+def ks_normal_by_day(df: DataFrame, ref: DriftReference, feature: str) -> DataFrame:
+    """(day_number, feature, ks_statistic, ks_pvalue): the test of ``ks_normal`` for every day that has values."""
+    days = [r[0] for r in df.where(F.col(feature).isNotNull()).select("day_number").distinct().orderBy("day_number").collect()]
+    tests = [ks_normal(df.where(F.col("day_number") == day), ref, feature).select(F.lit(day).alias("day_number"), "*") for day in days]
+    empty = df.sparkSession.createDataFrame([], "day_number long, feature string, ks_statistic double, ks_pvalue double")
+    return reduce(DataFrame.unionByName, tests) if tests else empty

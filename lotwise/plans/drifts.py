@@ -96,6 +96,17 @@ def _(spark, d):
     return rounded(ks.select("feature", "n_reference", "n_current", "ks_statistic"))
 
 
+@query("dr04_ks_two_sample_all_days", on_dies(
+    "SELECT feature, n_reference, n_current, round(max(abs(ref_below / n_reference - cur_below / n_current)), 6) AS ks_statistic FROM ("
+    "SELECT feature, value, sum(ref) OVER w AS ref_below, sum(cur) OVER w AS cur_below, cast(sum(ref) OVER (PARTITION BY feature) as bigint) AS n_reference, cast(sum(cur) OVER (PARTITION BY feature) as bigint) AS n_current "
+    "FROM (SELECT feature, value, count(*) FILTER (WHERE day_number <= 8) AS ref, count(*) FILTER (WHERE day_number > 8) AS cur FROM long WHERE day_number <= 8 OR day_number > 8 GROUP BY ALL) "
+    "WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY ALL", long_cte(NINE, keep="day_number")))
+def _(spark, d):
+    df = dies(spark, d)
+    ks = drift.ks_two_sample(df.where("day_number <= 8"), df.where("day_number > 8"), NINE)
+    return rounded(ks.select("feature", "n_reference", "n_current", "ks_statistic"))
+
+
 @query("dr04_ks_daily", on_dies(
     "SELECT day_number, feature, n_reference, n_current, round(max(abs(ref_below / n_reference - cur_below / n_current)), 6) AS ks_statistic FROM ("
     "SELECT day_number, feature, value, sum(ref) OVER w AS ref_below, sum(cur) OVER w AS cur_below, cast(sum(ref) OVER (PARTITION BY day_number, feature) as bigint) AS n_reference, "
@@ -112,7 +123,7 @@ def _(spark, d):
 @query("dr04_ks_against_stored_normal")
 def _(spark, d):
     df, ref = reference(spark, d, ["test_temp_c"], drift.WIDTH)
-    return drift.ks_normal(df.where("day_number > 30"), ref, "test_temp_c")
+    return drift.ks_normal_by_day(df.where("day_number > 8"), ref, "test_temp_c")
 
 
 @query("dr05_reference_stats", on_dies(

@@ -15,3 +15,12 @@ def test_registry_of_all_days(spark, name, days):
     got = {x.day_number for x in entry_points.queries()[name](spark, SF).collect()}
     assert days is None or len(got) == days
     assert any(day % 3 for day in got)
+
+
+def test_distances_of_all_days_after_the_reference(spark):
+    name = "dr04_ks_two_sample_all_days"
+    r = compare(spark, connect(SF), SF, name, entry_points.queries()[name], entry_points.oracle_sql()[name])
+    assert r["status"].startswith("match") and r["rows"] == 9, r
+    got = entry_points.queries()["dr04_ks_against_stored_normal"](spark, SF).collect()
+    assert sorted(x.day_number for x in got) == list(range(9, 41))
+    assert all(0 < x.ks_statistic <= 1 and 0 <= x.ks_pvalue <= 1 for x in got)
