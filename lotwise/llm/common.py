@@ -14,6 +14,7 @@ from lotwise.session import shared_folder
 
 BATCH_BYTES = 8 << 20
 FRACTION_STEPS = 1 << 30
+HEAVY_KEYS = 4096
 
 
 def stored(df: DataFrame, *sort: str) -> DataFrame:
@@ -86,6 +87,16 @@ def numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     return rows.select(F.col("number").alias("key"), "text"), rows.select("number", "key")
 
 
+def join_skewed(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """Joins rows with `keyed`, which has one row a key and in `weight` how many of the rows have it; both are stored
+    tables. A key with one in HEAVY_KEYS of all rows or more is sent to the tasks: there are at most HEAVY_KEYS such keys.
+    The others go by exchange, where none of them fills a task. how: inner, left, left_semi or left_anti; keys are not null."""
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    heavy, light = (keyed.where(test) for test in (F.col(weight) * HEAVY_KEYS >= total, F.col(weight) * HEAVY_KEYS < total))
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light, on, how)
+    return rest if how == "left_anti" else rows.join(F.broadcast(heavy), on, "inner" if how == "left" else how).unionByName(rest)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Smallest id reachable from each id that has an edge: columns (id, component).
 

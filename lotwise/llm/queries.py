@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bitslice, chaining, containment, heavylight, langid, packing, pii, suffixdedup, toxicity, urlfilter
-from lotwise.llm.common import crc_mod, tokenizer_path
+from lotwise.llm import (
+    bitslice, chaining, containment, heavylight, langid, linededup, packing, pii, suffixdedup, toxicity, urlfilter, variants, vectorcodes,
+)
+from lotwise.llm.common import crc_mod, join_skewed, stored, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +144,100 @@ def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path())
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with the form they are a variant of, and the root of their group."""
+    words = variants.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", noise=31)
+    return variants.group_variants(words)
+
+
+# crc32 bit by bit: each byte is followed by seven zeros, one shift an element.
+OP11_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]{7,}')) AS run
+  FROM documents
+), r AS (
+  SELECT run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM t GROUP BY doc_id, run
+), c AS (
+  SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(0, 4 * len(h)), lambda i:
+      CASE WHEN i % 8 = 0 THEN CAST('0x' || h[i // 4 + 1 : i // 4 + 2] AS BIGINT) ELSE 0 END),
+    lambda x, e: xor(xor(x, e) >> 1, 3988292384 * (xor(x, e) & 1))), 4294967295) AS crc FROM r
+), w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN crc % 31 = 0 THEN run[1 : crc % len(run)] || run[crc % len(run) + 2 : len(run)] ELSE run END AS word, n FROM c)
+  WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), v AS MATERIALIZED (
+  SELECT word, n, i, word[1 : i] || word[i + 2 : len(word)] AS less FROM (SELECT word, n, unnest(range(0, len(word))) AS i FROM w)
+), p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM v a JOIN v b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT v.word, w.word, w.n FROM v JOIN w ON w.word = v.less
+  UNION SELECT w.word, v.word, v.n FROM v JOIN w ON w.word = v.less
+), b AS (SELECT word, count(*) AS n_near, max(near_n) AS best, arg_min(near, (-near_n, near)) AS near FROM p GROUP BY word
+), f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best >= 10 * w.n THEN near END AS form, CASE WHEN best >= 10 * w.n THEN best END AS form_n
+  FROM w LEFT JOIN b ON b.word = w.word
+), u AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION ALL SELECT u.word, f.form FROM u JOIN f ON f.word = u.root WHERE f.form IS NOT NULL
+), z AS (SELECT u.word, u.root FROM u JOIN f ON f.word = u.root WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(z.root, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN z ON z.word = f.word
+"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every text when lines that a smaller document holds go."""
+    kept = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return kept.select(F.col("key").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH l AS (
+  SELECT doc_id, line, place, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS place FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))
+), k AS (
+  SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), j AS (SELECT l.*, k.first IS NOT NULL AND k.first <> doc_id AS gone FROM l LEFT JOIN k ON k.key = l.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors after four Lloyd rounds, with the error of each row and of its label."""
+    codes = vectorcodes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", ["label"])
+    rows = codes.rows.withColumn("group", F.struct("label"))  # a struct is never null: rows without a label are a group
+    groups = stored(rows.groupBy("group").agg(F.sum("error").alias("label_error"), F.count("*").alias("members")))
+    return join_skewed(rows, groups, ["group"], "members").select(
+        F.col("key").alias("vec_id"), F.concat_ws("", F.transform("code", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0"))).alias("code"),
+        "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+def _op13_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Each round's assignment and new codebook as tables of their own; entries unroll into (part, entry, component list)."""
+    steps = [f"""v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, part, e[part * (len(e) // {parts}) + 1 : (part + 1) * (len(e) // {parts})] AS x FROM v, (SELECT unnest(range({parts})) AS part)
+), b0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM p
+  WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries})
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, p.part, any_value(p.x) AS x, min(struct_pack(d := CAST(list_inner_product(b.x, b.x) - 2 * list_inner_product(p.x, b.x) + list_inner_product(p.x, p.x) AS BIGINT), entry := b.entry)) AS best
+  FROM p JOIN b{i} b ON b.part = p.part GROUP BY vec_id, p.part
+)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT part, entry, list(floor(total / n) ORDER BY place) AS x FROM (
+    SELECT part, best.entry AS entry, place, sum(x[place]) AS total, count(*) AS n FROM a{i}, (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM p))) AS place) GROUP BY ALL) GROUP BY part, entry
+), b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m ON m.part = b.part AND m.entry = b.entry)""")
+    return f"""WITH {', '.join(steps)}, c AS (
+  SELECT vec_id, string_agg(lpad(lower(hex(best.entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id
+), h AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT c.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c JOIN v ON v.vec_id = c.vec_id, h"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_masks": op1_language_masks,
@@ -154,6 +250,9 @@ def queries() -> dict[str, Query]:
         "op8_benchmark_containment": op8_benchmark_containment,
         "op9_url_filter": op9_url_filter,
         "op10_retrieval_packing": op10_retrieval_packing,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -162,4 +261,7 @@ def oracles() -> dict[str, str]:
         "op4_heavy_light_join": OP4_SQL,
         "op6_bit_sliced_top_k": OP6_SQL,
         "op8_benchmark_containment": OP8_SQL,
+        "op11_spelling_variants": OP11_SQL,
+        "op12_line_dedup": OP12_SQL,
+        "op13_vector_codes": _op13_sql(),
     }
