@@ -191,7 +191,7 @@ class Codes:
 def compress(
     vectors: DataFrame, key: str, vector: str, keep: Sequence[str] = (), parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024,
 ) -> Codes:
-    """Codes of all vectors, and the codebooks they refer to."""
+    """Codes of all vectors, and the codebooks they refer to. Kept columns are not named key, code or error."""
     spark = vectors.sparkSession
     small_batches(spark)
     named: list[Column] = [F.col(key).cast("long").alias("key"), *[F.col(c).alias(f"kept_{c}") for c in keep]]
@@ -205,9 +205,9 @@ def compress(
     kept = kept.where(F.size("ints") == size)
     start = kept.sort(F.col("key").asc_nulls_last(), "ints").select("ints").limit(entries).collect()
     books = np.array([r[0] for r in start], dtype=np.int64).reshape(len(start), parts, size // parts).transpose(1, 0, 2)
-    result = kept.select("key", "row", *[F.col(f"kept_{c}").alias(c) for c in keep])
+    told = [F.col("key"), *[F.col(f"kept_{c}").alias(c) for c in keep]]
     if not start:
-        return Codes(result.select("key", *keep, F.lit(None).cast("array<int>").alias("code"), F.lit(None).cast("long").alias("error")), books, scale)
+        return Codes(kept.select(*told, F.lit(None).cast("array<int>").alias("code"), F.lit(None).cast("long").alias("error")), books, scale)
     schema = f"{MEMBER}, moved boolean"
     staying, moving = None, stored(kept.select("row", "ints").mapInArrow(_first_entries(books), MEMBER))
     members = moving
@@ -222,4 +222,4 @@ def compress(
             staying, moving = after.where("not moved").drop("moved"), after.where("moved").drop("moved")
     coded = members.mapInArrow(_assigned(books, True), "row long, position int, entry int, distance long").groupBy("row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("position", "entry"))), lambda x: x["entry"]).alias("code"), F.sum("distance").alias("error"))
-    return Codes(stored(result.join(coded, "row").select("key", *keep, "code", "error")), books, scale)
+    return Codes(stored(kept.drop("ints").join(coded, "row").select(*told, "code", "error")), books, scale)
