@@ -5,9 +5,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import SparkContext
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -39,49 +38,6 @@ def fit_logistic(df: DataFrame, label: str, c: float = 1.0, iterations: int = 10
     ).fit(weighted)
 
 
-def fit_boosted_trees(
-    df: DataFrame, label: str, trees: int = 300, depth: int = 6, step: float = 0.1, subsample: float = 0.8,
-    validation: str | None = None, seed: int = 42, patience: int = 20,
-) -> Model:
-    """Boosted trees with the positive class weighted by negatives / positives; ``validation`` marks the rows that
-    decide when to stop: where their loss has not fallen for ``patience`` trees, the trees up to its lowest are kept.
-    Spark's own indicator stops at the first tree that helps little, so all trees are fitted and then cut."""
-    trained = df.where(~F.col(validation)) if validation else df
-    row = trained.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    scale = row["n"] / max(row["p"], 1)
-    weighted = df.withColumn("weight", F.when(F.col(label) == 1, float(scale)).otherwise(1.0))
-    model = GBTClassifier(
-        labelCol=label, weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=step, subsamplingRate=subsample, seed=seed
-    )
-    if not validation:
-        return model.fit(weighted)
-    fitted = model.fit(weighted.where(~F.col(validation)))
-    return first_trees(fitted, trees_to_keep(fitted.evaluateEachIteration(weighted.where(validation)), patience))
-
-
-def trees_to_keep(losses: Sequence[float], patience: int) -> int:
-    """Number of trees at the lowest loss, before the first ``patience`` trees without a lower one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_trees(model: Model, n: int) -> Model:
-    """The boosted model of its first ``n`` trees, with the same default columns."""
-    jvm, gateway, given = SparkContext._active_spark_context._jvm, SparkContext._gateway, model._java_obj
-    given_trees, given_weights = given.trees(), given.treeWeights()
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = gateway.new_array(jvm.double, n)
-    for i in range(n):
-        trees[i], weights[i] = given_trees[i], given_weights[i]
-    return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        given.uid(), trees, weights, given.numFeatures(), given.numClasses()))
-
-
 def score_rows(model: Model, df: DataFrame, keep: Sequence[str], name: str = "score") -> DataFrame:
     """Probability of the positive class."""
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(name))
@@ -101,12 +57,6 @@ def score_foreign(
     return df.withColumn(name, scored(*[F.col(c).cast("double") for c in columns]))
 
 
-def top_importances(model: Model, columns: Sequence[str], df: DataFrame, k: int = 15) -> DataFrame:
-    """(feature, importance): the k most important features."""
-    values = [(c, float(v)) for c, v in zip(columns, model.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(values, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(k)
-
-
 # --- projections and clusters ----------------------------------------------------------------------
 
 def fit_pca(df: DataFrame, k: int = 10, features: str = "features") -> Model:

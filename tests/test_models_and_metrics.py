@@ -1,12 +1,14 @@
 """Losses, metrics, preparation, neighbours, rebalancing, clustering and forests against small brute force."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from lotwise.functions.losses import focal_loss
-from lotwise.operators import balance, clean, dbscan, features, metrics, ml, neighbors, running
+from lotwise.operators import balance, boosting, clean, dbscan, features, metrics, ml, neighbors, running
 from lotwise.plans import learning, prepare
 from lotwise.spec import FeatureSpec, FocalParams
 
@@ -181,31 +183,22 @@ def test_isolation_forest_finds_the_far_points(spark):
     assert len(found) == 10 and all(r["id"] >= 490 for r in found)
 
 
-def test_boosted_trees_stop_after_patience(spark):
-    """Twenty trees without a lower loss end the search; the kept trees score as a fit of so many does."""
-    assert ml.trees_to_keep([5.0, 4.0, 4.5, 3.0, *[3.5] * 20, 1.0], 20) == 4
-    assert ml.trees_to_keep([5.0, 4.0, 4.5, 3.0, *[3.5] * 19, 1.0], 20) == 24
-    rows = [(float(i % 7), float(i % 11), int((i % 7) * (i % 11) % 5 > 2)) for i in range(300)]
-    df = ml.assemble(spark.createDataFrame(rows, "a double, b double, y int"), ["a", "b"])
-    cut = ml.first_trees(ml.fit_boosted_trees(df, "y", trees=6, depth=2), 3)
-    want = ml.fit_boosted_trees(df, "y", trees=3, depth=2)
-    assert cut.getNumTrees == 3
-    assert [r.score for r in ml.score_rows(cut, df, ["a"]).collect()] == pytest.approx([r.score for r in ml.score_rows(want, df, ["a"]).collect()])
-
-
-@pytest.mark.parametrize("name", ["ml02_boosted_trees", "ml03_boosted_trees_wide", "ml04_top_importances"])
+@pytest.mark.parametrize("name", ["ml02_boosted_trees", "ml03_boosted_trees_wide", "ml04_top_importances", "ml05_stored_model_scores", "ml03_leaf_wise_scores"])
 def test_boosted_queries_ask_for_the_whole_model(spark, monkeypatch, name):
     """The defaults of the operator, stopped by the validation rows; every row not trained on is scored."""
-    asked, fit = [], ml.fit_boosted_trees
+    asked, fit = [], boosting.fit
 
-    def small(*args, **given):
-        asked.append(given)
-        return fit(*args, **{**given, "trees": 2, "depth": 2})
+    def small(*args):
+        asked.append(args)
+        return fit(*args[:5], replace(args[5], trees=2, depth=2))
 
-    monkeypatch.setattr(ml, "fit_boosted_trees", small)
+    monkeypatch.setattr(boosting, "fit", small)
     got = entry_points.queries()[name](spark, "/root/testdata/sf0.001")
-    assert not {"trees", "depth"} & set(asked[0]) and asked[0]["validation"] == "is_val"
+    p = asked[0][5]
+    assert p.trees == 300 and p.depth == 6 and p.patience == 20 and asked[0][4] is not None
+    assert p.growth == ("leaf" if name.startswith("ml03") else "level")
+    unseen = learning._rows(spark, "/root/testdata/sf0.001").where("split <> 'train'").count()
     if name == "ml04_top_importances":
         assert got.count() == len(learning.COLS)
     else:
-        assert got.count() == learning._rows(spark, "/root/testdata/sf0.001").where("split <> 'train'").count()
+        assert unseen == (got.agg({"n": "sum"}).first()[0] if "n" in got.columns else got.count())
