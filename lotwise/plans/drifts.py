@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lotwise import spec as S
-from lotwise.operators import drift
+from lotwise.functions.columns import NORMAL_BOTTOM, NORMAL_TOP
+from lotwise.operators import drift, sketches
 from lotwise.plans.bindings import dies, long_cte, on_dies, query, rounded
 from lotwise.plans.scratch import folder
 from lotwise.sources import tables as io
@@ -120,10 +123,24 @@ def _(spark, d):
     return rounded(ks.select("day_number", "feature", "n_reference", "n_current", "ks_statistic"))
 
 
-@query("dr04_ks_against_stored_normal")
+def normal_curve(z: str) -> str:
+    """Oracle text of the normal distribution function."""
+    polynomial = lambda given: reduce(lambda total, c: f"({total} * abs({z}) + {c!r})", given[1:], f"{given[0]!r}")
+    fraction = reduce(lambda total, k: f"(abs({z}) + {k}e0 / {total})", (4, 3, 2, 1), f"(abs({z}) + 0.65e0)")
+    tail = (f"exp(-abs({z}) * abs({z}) / 2) * CASE WHEN abs({z}) < 7.07106781186547e0 THEN {polynomial(NORMAL_TOP)} / {polynomial(NORMAL_BOTTOM)} "
+            f"ELSE 1 / ({fraction} * 2.506628274631e0) END")
+    return f"CASE WHEN {z} > 0 THEN 1 - {tail} ELSE {tail} END"
+
+
+@query("dr04_ks_against_stored_normal", on_dies(
+    "SELECT day_number, feature, n, round(d, 6) AS ks_statistic, round(CASE WHEN x < 0.2 THEN 1 ELSE least(1, greatest(0, 2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * k * k * x * x))))) END, 6) AS ks_pvalue "
+    "FROM (SELECT *, (sqrt(n) + 0.12e0 + 0.11e0 / sqrt(n)) * d AS x FROM (SELECT day_number, feature, cast(max(n) as bigint) AS n, max(greatest(upto / n - curve, curve - (upto - here) / n)) AS d FROM ("
+    f"SELECT *, {normal_curve('z')} AS curve FROM (SELECT c.day_number, c.feature, here, (value - mean) / greatest(std, 1e-6) AS z, sum(here) OVER (PARTITION BY c.day_number, c.feature ORDER BY value) AS upto, sum(here) OVER (PARTITION BY c.day_number, c.feature) AS n "
+    "FROM (SELECT day_number, feature, value, count(*) AS here FROM long WHERE day_number > 8 GROUP BY ALL) c JOIN (SELECT feature, avg(value) AS mean, stddev_pop(value) AS std FROM long WHERE day_number <= 8 GROUP BY feature) r USING (feature))) GROUP BY day_number, feature))",
+    long_cte(NINE, keep="day_number")))
 def _(spark, d):
-    df, ref = reference(spark, d, ["test_temp_c"], drift.WIDTH)
-    return drift.ks_normal_by_day(df.where("day_number > 8"), ref, "test_temp_c")
+    df, ref = reference(spark, d, NINE, drift.WIDTH)
+    return rounded(drift.ks_normal(df.where("day_number > 8"), ref, ["day_number"]))
 
 
 @query("dr05_reference_stats", on_dies(
@@ -254,3 +271,48 @@ def _(spark, d):
 def _(spark, d):
     df, ref = reference(spark, d)
     return rounded(drift.psi_report(df, ref, ["tester_id"]).select("tester_id", "feature", "n", "psi"))
+
+
+# --- reference windows from stored sketches ----------------------------------------------------------
+
+WIDTH = 8
+
+
+def _sketched(spark, d):
+    """Sketches of all days, written in two runs; the second adds the days that the first did not have."""
+    df, path = dies(spark, d), folder(spark, "sketches")
+    sketches.update(df.where("day_number <= 20"), path, NINE)
+    sketches.update(df, path, NINE)
+    return df, sketches.read(spark, path)
+
+
+_SLIDING = f"days AS (SELECT DISTINCT day_number AS target FROM dies WHERE day_number > {WIDTH}), moved AS (SELECT target, feature, value FROM long JOIN days ON day_number BETWEEN target - {WIDTH} AND target - 1)"
+
+
+@query("dr05_sliding_reference", on_dies(
+    "SELECT target AS day_number, feature, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(min(value), 6) AS low, round(max(value), 6) AS high FROM moved GROUP BY ALL",
+    long_cte(NINE, keep="day_number"), _SLIDING))
+def _(spark, d):
+    """Statistics of the eight days before each day, from one stored sketch a day and feature."""
+    _, stored = _sketched(spark, d)
+    moving = sketches.sliding(stored, WIDTH).where(f"day_number > {WIDTH}")
+    return rounded(moving.select("day_number", "feature", "n", "mean", "std", "low", "high"))
+
+
+@query("io16_sketch_quantiles", on_dies(
+    "SELECT DISTINCT target AS day_number, feature, p AS place, true AS within FROM moved, (SELECT unnest([0.25e0, 0.5e0, 0.75e0]) AS p)", long_cte(NINE, keep="day_number"), _SLIDING))
+def _(spark, d):
+    """Quartiles of the moving windows, and whether their exact ranks, counted over the rows, are within one percent."""
+    df, stored = _sketched(spark, d)
+    moving = sketches.sliding(stored, WIDTH).where(f"day_number > {WIDTH}")
+    return sketches.rank_check(df, moving, [0.25, 0.5, 0.75], WIDTH, 0.01)
+
+
+@query("dr12_sliding_scan", on_dies(
+    f"SELECT l.day_number, l.feature, count(*) AS n, any_value(r.n) AS n_reference, true AS shares_add_up FROM long l JOIN (SELECT target, feature, count(*) AS n FROM moved GROUP BY ALL) r ON r.target = l.day_number AND r.feature = l.feature WHERE l.day_number > {WIDTH} GROUP BY ALL",
+    long_cte(NINE, keep="day_number"), _SLIDING))
+def _(spark, d):
+    """Every day against the eight days before it, from sketches alone."""
+    _, stored = _sketched(spark, d)
+    scan = sketches.sliding_psi(stored, WIDTH).where(f"day_number > {WIDTH}")
+    return scan.select("day_number", "feature", "n", "n_reference", ((F.col("psi") >= 0) & F.col("psi").isNotNull()).alias("shares_add_up"))
