@@ -9,8 +9,10 @@ from lotwise.plans.bindings import dies, on_dies, query, rounded, table
 from lotwise.plans.drifts import SIX, quantile_ctes, reference, report_cte
 from lotwise.plans.decisions import _GATE as _DAY_GATE
 from lotwise.plans.scratch import folder
+from lotwise.session import settings
 from lotwise.sources import tables as io
 from lotwise.streaming import landing, monitors
+from lotwise.streaming import ordered_gate as ordered
 from lotwise.streaming.gate import OUTPUT, stream_gate
 
 _EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -205,3 +207,24 @@ def _(spark, d):
     report = drift.psi_report(df, ref, ["tester_id", "day_number"])
     s = drift.drift_summary(report, ["tester_id", "day_number"], 6).withColumn("drift_reliable", F.lit(True))
     return lifecycle.staleness_gate(s, ["tester_id"])
+
+
+@query("st12_ordered_gate", on_dies(
+    "SELECT tester_id AS model, day_number, critical AS features_critical, since AS days_since_retrain, retrain, critical >= 3 AND NOT retrain AS blocked FROM gate", *_PER_TESTER, recursive=True))
+def _(spark, d):
+    """The gate per tester over reports that arrive out of order: early days wait in state for a timer."""
+    df, ref = reference(spark, d)
+    s = drift.drift_summary(drift.psi_report(df, ref, ["tester_id", "day_number"]), ["tester_id", "day_number"], 6)
+    rows = s.select(F.col("tester_id").alias("model"), F.col("day_number").cast("int").alias("day_number"), F.col("features_critical").cast("int").alias("features_critical"), F.lit(True).alias("drift_reliable"))
+    path, out = folder(spark, "reports"), folder(spark, "decisions")
+    rows.write.parquet(path + "-all")
+    rows = spark.read.parquet(path + "-all")
+    arrival = F.floor((F.col("day_number") + F.pmod(F.col("day_number") * 7, F.lit(5))) / 14)
+    for turn in range(4):  # one file a batch, days up to four too early in each
+        rows.where(arrival == turn).orderBy(F.xxhash64("model", "day_number")).coalesce(1).write.mode("append").parquet(path)
+    ordered.closing_report(rows, 40, 10).coalesce(1).write.mode("append").parquet(path)
+    stream = landing.file_source(spark, path, rows.schema, "parquet", files_per_batch=1)
+    with settings(spark, ordered.STORE):
+        run = ordered.ordered_gate(stream, 10).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(spark, "ordered-state"))
+        run.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(ordered.OUTPUT).parquet(out).withColumn("features_critical", F.col("features_critical").cast("long"))

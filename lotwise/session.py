@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,19 @@ def build_session(app: str = "lotwise", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, given: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    before = {k: spark.conf.get(k, None) for k in given}
+    for k, v in given.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names. In local mode, where one machine does everything, a private folder
     stands in for it; a cluster without it is an error, because executors would not see each other's files."""

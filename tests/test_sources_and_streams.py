@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise import session
-from lotwise.operators import quality
+from lotwise.operators import lifecycle, quality
 from lotwise.sources import tables as io
-from lotwise.streaming import landing
+from lotwise.streaming import landing, ordered_gate
 from lotwise.streaming.gate import OUTPUT, stream_gate
 
 
@@ -81,6 +81,30 @@ def test_gate_reports_late_days(spark, tmp_path):
     assert rows == {50: (True, False), 40: (False, True), 90: (True, False)}
 
 
+def test_ordered_gate_decides_days_in_order(spark, tmp_path):
+    """Three batches in mixed order give the decisions of the ordered days; only what is later than the watermark is lost."""
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "model string, day_number int, features_critical int, drift_reliable boolean"
+    given = {d: (5 if d in (31, 33, 62, 64, 65) else 1, d != 31) for d in range(28, 70)}
+    batches = [[33, 31, 32, 28, 30, 29], [36, 34, 35, *range(40, 60), 38, 37, 39], [62, 61, 60, 63, 69, 66, 64, 65, 67, 68, 30]]
+    rows = [[(m, d, given[d][0], given[d][1]) for d in days for m in "ab"] for days in batches]
+    with session.settings(spark, ordered_gate.STORE):
+        for batch in rows:
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+            run = ordered_gate.ordered_gate(landing.file_source(spark, src, schema, "parquet"), 4).writeStream.format("parquet").option("path", out)
+            run.option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        early = spark.read.schema(ordered_gate.OUTPUT).parquet(out)
+        assert early.agg({"day_number": "max"}).first()[0] < 66  # the last days still wait
+        ordered_gate.closing_report(early, 69, 4).coalesce(1).write.mode("append").parquet(src)
+        run = ordered_gate.ordered_gate(landing.file_source(spark, src, schema, "parquet"), 4).writeStream.format("parquet").option("path", out)
+        run.option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = {(r.model, r.day_number): (r.features_critical, r.days_since_retrain, r.retrain, r.blocked) for r in spark.read.schema(ordered_gate.OUTPUT).parquet(out).collect()}
+    whole = spark.createDataFrame([("a", d, *given[d]) for d in given], schema)
+    want = {r.day_number: (r.features_critical, r.days_since_retrain, r.retrain, r.blocked) for r in lifecycle.staleness_gate(whole, ["model"]).collect()}
+    assert got == {(m, d): v for d, v in want.items() for m in "ab"}
+    assert [d for d in want if want[d][2]] == [33, 64]
+
+
 def test_cluster_needs_a_shared_folder():
     class Context:
         master = "spark://host:7077"
