@@ -257,6 +257,13 @@ def completeness_audit(
     )
 
 
+def pending(requested: Sequence[int], done: DataFrame, day: str) -> list[int]:
+    """Requested days that ``done`` does not have."""
+    asked = done.sparkSession.createDataFrame([(int(d),) for d in requested], f"{day} int")
+    have = done.select(F.col(day).cast("int").alias(day)).distinct()
+    return sorted(r[0] for r in asked.join(have, day, "left_anti").collect())
+
+
 def missing_days(present: DataFrame, first: int, last: int, day: str = "day_number") -> DataFrame:
     """Days of the range that have no row."""
     expected = present.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias(day))

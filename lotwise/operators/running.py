@@ -12,7 +12,8 @@ from lotwise.functions.columns import key_fraction, same_key, stable_key
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 4096
-HASH_BUCKETS = 4096
+SORTED_ROWS = 50_000
+DIGITS, MD5_DIGITS = 3, 32  # hexadecimal digits counted at a time, and in all
 ROWS_PER_SLOT = 100_000
 
 
@@ -84,21 +85,30 @@ def hash_ranked(df: DataFrame, key: Column, by: Sequence[str] = (), rank: str =
     return joined.select(*df.columns, (F.col("_local") + F.col("_before")).alias(rank))
 
 
-def sample_exact(df: DataFrame, n: int, key_columns: Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly n seeded rows (all rows when fewer): whole hash slots below the cut, a sort only inside the cut slot."""
-    key = stable_key(key_columns, seed)
-    hashed = df.withColumn("_key", key).withColumn("_slot", F.floor(key_fraction(F.col("_key")) * HASH_BUCKETS))
-    counts = sorted((r["_slot"], r["n"]) for r in hashed.groupBy("_slot").agg(F.count("*").alias("n")).collect())
-    taken, cut = 0, None
-    for slot, size in counts:
-        if taken + size > n:
-            cut = slot
+def sample_exact(df: DataFrame, n: int, key_columns: Sequence[str], seed: int = 42, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """Exactly n seeded rows (all rows when fewer), those with the smallest md5 of their key.
+
+    The cut is found digit by digit: rows are counted by the next digits of their md5 within the slot that holds the cut,
+    until that slot has ``sorted_rows`` rows or fewer. Only those are sorted, whatever n and the table; rows before the
+    slot are taken as they are. Rows with the same key share all digits, so a key that more rows have is sorted whole.
+    """
+    hashed = df.withColumn("_key", stable_key(key_columns, seed))
+    taken, prefix = 0, ""
+    while True:
+        inside = hashed.where(F.startswith("_key", F.lit(prefix))) if prefix else hashed
+        digits = len(prefix) + DIGITS
+        counts = sorted((r["_slot"], r["n"]) for r in inside.groupBy(F.substring("_key", 1, digits).alias("_slot")).agg(F.count("*").alias("n")).collect())
+        for slot, size in counts:
+            if taken + size > n:
+                break
+            taken += size
+        else:
+            return df
+        prefix = slot
+        if size <= sorted_rows or len(prefix) >= MD5_DIGITS:
             break
-        taken += size
-    if cut is None:
-        return df
-    whole = hashed.where(F.col("_slot") < cut)
-    part = hashed.where(F.col("_slot") == cut)
-    w = Window.partitionBy("_slot").orderBy("_key")
-    part = part.withColumn("_pos", F.row_number().over(w)).where(F.col("_pos") <= n - taken).drop("_pos")
-    return whole.unionByName(part).drop("_key", "_slot")
+    before = hashed.where(F.substring("_key", 1, len(prefix)) < prefix)
+    cut = hashed.where(F.startswith("_key", F.lit(prefix)))
+    place = F.row_number().over(Window.partitionBy(F.substring("_key", 1, len(prefix))).orderBy("_key"))
+    cut = cut.withColumn("_pos", place).where(F.col("_pos") <= n - taken).drop("_pos")
+    return before.unionByName(cut).drop("_key")

@@ -10,6 +10,7 @@ from lotwise.plans import daily, prepare
 from lotwise.plans.bindings import dies, on_dies, query, rounded, table
 from lotwise.plans.drifts import SIX, quantile_ctes, reference, report_cte
 from lotwise.plans.scratch import folder
+from lotwise.sources import committed
 from lotwise.sources import tables as io
 
 _NARROW = ["die_key", "day_number", "tester_id", "test_temp_c", "cell_leakage_fa", "is_fail"]
@@ -124,6 +125,41 @@ def _(spark, d):
     return lifecycle.missing_days(table(spark, d, "events").select(day), 1, 40).where(F.col("day_number").isin(pending))
 
 
+@query("io17_committed_days", on_dies(
+    "SELECT day_number, count(*) AS n, round(avg(CASE WHEN day_number = 7 THEN test_temp_c + 1 ELSE test_temp_c END), 6) AS t, CASE WHEN day_number = 7 THEN 2 WHEN day_number <= 20 THEN 1 ELSE 3 END AS sequence, "
+    "CASE WHEN day_number > 20 THEN 'second run' WHEN day_number = 7 THEN 'again' ELSE 'first run' END AS state FROM dies GROUP BY day_number"))
+def _(spark, d):
+    """Half of the days, one of them again, a run that dies before its commit, then the days that are pending."""
+    path, rows = folder(spark, "committed"), dies(spark, d).select(*_NARROW)
+    committed.write(rows.where("day_number <= 20"), path, "first run")
+    committed.write(rows.where("day_number = 7").withColumn("test_temp_c", F.col("test_temp_c") + 1), path, "again")
+    committed.stage(rows.where("day_number <= 30").withColumn("test_temp_c", F.lit(0.0)), path)
+    left = committed.pending_days(spark, path, range(1, 41))
+    committed.write(rows.where(F.col("day_number").isin(*left)), path, "second run")
+    found = committed.read(spark, path, rows.schema).groupBy("day_number").agg(F.count("*").alias("n"), F.avg("test_temp_c").alias("t"))
+    known = committed.manifest(spark, path).select(F.col("day").alias("day_number"), F.col("sequence").cast("int").alias("sequence"), "state")
+    return rounded(found.join(known, "day_number"))
+
+
+@query("io13_variant_reports", on_dies(
+    "SELECT day_number, 'drift.feature_psi.' || feature AS key, round(psi, 6) AS value FROM psi WHERE round(psi, 6) > 0.02 "
+    "UNION ALL SELECT day_number, 'drift.severe.features', cast(count(*) as double) FROM psi WHERE psi > 0.2 GROUP BY day_number "
+    "UNION ALL SELECT day_number, 'day', cast(day_number as double) FROM psi GROUP BY day_number", *quantile_ctes(SIX)))
+def _(spark, d):
+    """Reports whose nested keys differ from day to day, read back without a schema as one keyed table."""
+    df, ref = reference(spark, d, SIX)
+    report = drift.psi_report(df, ref, ["day_number"]).withColumn("psi", F.round("psi", 6))
+    drifted = F.collect_list(F.when(F.col("psi") > 0.02, F.struct("feature", "psi")))
+    severe = F.count_if(F.col("severity") == "critical")
+    nested = F.struct(F.map_from_entries(drifted).alias("feature_psi"), F.when(severe > 0, F.struct(severe.alias("features"))).alias("severe"))
+    documents = report.groupBy("day_number").agg(F.to_json(F.struct(F.first("day_number").alias("day"), nested.alias("drift"))).alias("value"))
+    path = folder(spark, "day-documents")
+    documents.repartition("day_number").write.partitionBy("day_number").text(path)
+    leaves = io.read_json_leaves(spark, f"{path}/*").withColumn("value", F.col("value").cast("double"))
+    days = leaves.where("key = 'day'").select("file", F.col("value").cast("int").alias("day_number"))
+    return rounded(leaves.join(days, "file").select("day_number", "key", "value"))
+
+
 # --- ordering -----------------------------------------------------------------------------------
 
 @query("so03_top_features_by_spread", on_dies("SELECT feature, round(stddev_pop(value), 6) AS spread FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, cast({c} as double) AS value FROM dies" for c in S.NUMERIC) + ") GROUP BY feature ORDER BY stddev_pop(value) DESC LIMIT 5"))

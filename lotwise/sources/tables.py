@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.operators.lifecycle import missing_days
+from lotwise.operators.lifecycle import missing_days, pending
+from lotwise.session import cut_lineage
 from lotwise.spec import PRODUCTION_DDL
 
 SPLITS = ("train", "val", "test", "unseen")
@@ -112,9 +114,7 @@ def read_features(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]
 
 def pending_days(requested: Sequence[int], done: DataFrame, day: str = "day_number") -> list[int]:
     """Requested days that the output does not have yet: where a run resumes."""
-    asked = done.sparkSession.createDataFrame([(int(d),) for d in requested], f"{day} int")
-    have = done.select(F.col(day).cast("int").alias(day)).distinct()
-    return sorted(r[0] for r in asked.join(have, day, "left_anti").collect())
+    return pending(requested, done, day)
 
 
 TIMELINE_DDL = (
@@ -142,6 +142,34 @@ def read_drift_reports(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl).option("multiLine", True).json(path)
 
 
+def read_json_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """(file, key, value): every leaf of the JSON documents of a folder under its dotted key, whatever keys they have.
+
+    Documents are variants, so no schema is read ahead and none is declared: objects and arrays are opened level by level
+    until only leaves are left. Array elements count from 0. Null leaves have a null value; text that is not JSON and
+    empty objects and arrays have no leaves.
+    """
+    text = spark.read.option("wholetext", True).text(path)
+    level = text.select(F.col("_metadata.file_path").alias("file"), F.lit("").alias("key"), F.try_parse_json("value").alias("v")).where("v IS NOT NULL")
+    leaves = []
+    while True:
+        kind = F.schema_of_variant("v")
+        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        leaves.append(level.where(~nested).select("file", "key", F.try_variant_get("v", "$", "string").alias("value")))
+        deeper = cut_lineage(level.where(nested))
+        if deeper.isEmpty():
+            break
+        opened = deeper.withColumnsRenamed({"key": "_above", "v": "_whole"}).lateralJoin(spark.tvf.variant_explode(F.col("_whole").outer()))
+        level = opened.select("file", F.concat_ws(".", F.nullif("_above", F.lit("")), F.coalesce("key", F.col("pos").cast("string"))).alias("key"), F.col("value").alias("v"))
+    return reduce(DataFrame.unionByName, leaves)
+
+
+def json_schema(spark: SparkSession, path: str) -> str:
+    """The one schema that all documents of a folder fit into."""
+    text = spark.read.option("wholetext", True).text(path)
+    return text.agg(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+
+
 # --- messages -----------------------------------------------------------------------------------
 
 def as_messages(df: DataFrame, key: str = "tester_id") -> DataFrame:

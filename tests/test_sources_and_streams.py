@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lotwise import session
 from lotwise.operators import lifecycle, quality
+from lotwise.sources import committed
 from lotwise.sources import tables as io
 from lotwise.streaming import landing, ordered_gate
 from lotwise.streaming.gate import OUTPUT, stream_gate
@@ -133,3 +134,32 @@ def test_timeline_reader(spark, tmp_path):
     p.write_text('{"total_days": 2,\n "days": [{"day": 1, "events": ["drift_clean"], "drift": {"feature_psi": {"a": 0.3}}}, {"day": 2, "events": []}]}')
     rows = io.read_timeline(spark, str(p)).orderBy("day").collect()
     assert [r["day"] for r in rows] == [1, 2] and rows[0]["drift"]["feature_psi"] == {"a": 0.3}
+
+
+def test_readers_see_committed_days_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(60).select((F.col("id") % 3 + 1).cast("int").alias("day_number"), F.col("id").alias("v"))
+    shown = lambda: {r.day_number: (r.n, r.v) for r in committed.read(spark, path, rows.schema).groupBy("day_number").agg(F.count("*").alias("n"), F.min("v").alias("v")).collect()}
+    assert shown() == {} and committed.pending_days(spark, path, [1, 2, 3]) == [1, 2, 3] and committed.last_state(spark, path) is None
+    assert committed.write(rows.where("day_number < 3"), path, "model v1") == [1, 2]
+    before = shown()
+    lost = committed.stage(rows.withColumn("v", F.lit(-1).cast("long")), path)  # killed between write and commit
+    assert shown() == before == {1: (20, 0), 2: (20, 1)} and committed.pending_days(spark, path, [1, 2, 3]) == [3]
+    assert committed.broken_runs(spark, path, rows.schema) == [lost]
+    assert committed.last_state(spark, path) == (2, "model v1")
+    assert committed.commit(spark, path, lost, rows.schema, [2]) == [2]  # or taken over in part
+    assert shown() == {1: (20, 0), 2: (20, -1)} and committed.broken_runs(spark, path, rows.schema) == []
+    committed.write(rows.where("day_number = 2 AND v > 30"), path)
+    assert shown()[2] == (10, 31) and committed.read(spark, path, rows.schema, 2, 2).count() == 10
+    assert committed.read(spark, path, rows.schema).columns == rows.columns
+
+
+def test_json_leaves_of_documents_with_different_keys(spark, tmp_path):
+    texts = {"a": '{"x": {"y": [1, {"z": true}], "e": {}}, "n": null}', "b": '{"x": 2.5, "w": "t"}', "c": "no json", "d": "[]", "e": '"s"'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    got = {(r.file[-6:-5], r.key, r.value) for r in io.read_json_leaves(spark, str(tmp_path)).collect()}
+    assert got == {("a", "x.y.0", "1"), ("a", "x.y.1.z", "true"), ("a", "n", None), ("b", "x", "2.5"), ("b", "w", "t"), ("e", "", "s")}
+    for name in "de":
+        (tmp_path / f"{name}.json").unlink()
+    assert "x: VARIANT" in io.json_schema(spark, str(tmp_path)) and "w: STRING" in io.json_schema(spark, str(tmp_path))

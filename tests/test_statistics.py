@@ -94,3 +94,14 @@ def test_density_does_not_depend_on_the_number_of_groups(spark, monkeypatch):
     literal = sorted(map(key, profile.density_histogram(df, ["x", "y"], ["k", "t"], 4).collect()))
     monkeypatch.setattr(profile, "GROUPS_IN_PLAN", 0)
     assert literal == sorted(map(key, profile.density_histogram(df, ["x", "y"], ["k", "t"], 4).collect())) and len(literal) == 7
+
+
+@pytest.mark.parametrize("sorted_rows", [50_000, 40, 1])
+def test_samples_are_cut_digit_by_digit(spark, sorted_rows):
+    df = spark.range(20_000).withColumn("part", F.col("id") % 5)
+    ordered = [r[0] for r in df.orderBy(stable_key(["id"], 42)).select("id").collect()]
+    for n in (0, 1, 6000, 19_999):
+        assert {r[0] for r in running.sample_exact(df, n, ["id"], sorted_rows=sorted_rows).select("id").collect()} == set(ordered[:n])
+    assert running.sample_exact(df, 20_000, ["id"], sorted_rows=sorted_rows).count() == 20_000
+    assert running.sample_exact(df, 30_000, ["id"]).columns == df.columns
+    assert running.sample_exact(df, 4001, ["part"], sorted_rows=sorted_rows).count() == 4001  # five keys for all rows
