@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise import spec as S
-from lotwise.operators import drift, lifecycle, profile
+from lotwise.operators import drift, lifecycle, metrics, profile
 from lotwise.plans.bindings import dies, on_dies, query, rounded, table
 from lotwise.plans.drifts import SIX, quantile_ctes, reference, report_cte
 from lotwise.spec import RetrainPolicy
@@ -39,34 +39,44 @@ def _tagged(spark, d):
     return lifecycle.day_event_tags(_gated(spark, d))
 
 
-def _daily_scores(spark, d):
-    """Per day: mean score of fails and of all rows, standing in for the metrics of that day's candidate model."""
-    return dies(spark, d).groupBy("day_number").agg(
-        F.avg(F.when(F.col("is_fail") == 1, F.col("score"))).alias("new_auc_pr"),
-        F.avg("score").alias("old_auc_pr"),
-    )
+# The candidate of a day adds a second measurement to the score; on one day in four it has the wrong sign.
+_CANDIDATE = "score + CASE WHEN day_number % 4 = 1 THEN -3e0 ELSE 3e0 END * (idd2p_standby_ma - 9e0) / 25e0"
+
 
+def _daily_quality(spark, d):
+    """Per day: average precision of that day's candidate and of the model in use, on the day's rows."""
+    scores = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(e).alias("score")) for m, e in (("old", "score"), ("new", _CANDIDATE))])
+    rows = dies(spark, d).select("day_number", F.col("is_fail").alias("label"), F.inline(scores))
+    quality = metrics.ranking_metrics(metrics.precision_recall_curve(rows, ["day_number", "model"], "label", "score"), ["day_number", "model"])
+    return quality.groupBy("day_number").agg(*[F.max(F.when(F.col("model") == m, F.col("auc_pr"))).alias(f"{m}_auc_pr") for m in ("new", "old")])
 
-_DAILY = "daily AS (SELECT day_number, avg(score) FILTER (WHERE is_fail = 1) AS new_auc_pr, avg(score) AS old_auc_pr FROM dies GROUP BY day_number)"
+
+_DAILY = (
+    f"scored AS (SELECT day_number, is_fail, 'old' AS model, score AS s FROM dies UNION ALL SELECT day_number, is_fail, 'new', {_CANDIDATE} FROM dies), "
+    "tied AS (SELECT day_number, model, s, sum(is_fail) AS pos, count(*) AS n FROM scored GROUP BY ALL), "
+    "curve AS (SELECT *, sum(pos) OVER w / sum(n) OVER w AS precision_upto, sum(pos) OVER (PARTITION BY day_number, model) AS n_pos FROM tied WINDOW w AS (PARTITION BY day_number, model ORDER BY s DESC)), "
+    "daily AS (SELECT day_number, sum(pos * precision_upto / n_pos) FILTER (WHERE model = 'new') AS new_auc_pr, sum(pos * precision_upto / n_pos) FILTER (WHERE model = 'old') AS old_auc_pr FROM curve WHERE n_pos > 0 GROUP BY day_number)"
+)
+_BASELINE = 0.28
 
 
 @query("lc01_three_criteria_gate", on_dies(
-    "SELECT day_number, features_critical >= 3 AS drift_triggered, coalesce(0.36e0 - new_auc_pr > 0.05, true) AS performance_triggered, coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) AS staleness_triggered, "
-    "date_diff('day', last_retrain_date, report_date) AS days_since_retrain, features_critical >= 3 AND coalesce(0.36e0 - new_auc_pr > 0.05, true) AND coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) AS should_retrain, "
-    "concat(CASE WHEN features_critical >= 3 AND coalesce(0.36e0 - new_auc_pr > 0.05, true) AND coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) THEN 'RETRAIN (' ELSE 'HOLD (' END, 'drift=', CASE WHEN features_critical >= 3 THEN 'YES' ELSE 'NO' END, "
-    "', performance=', CASE WHEN coalesce(0.36e0 - new_auc_pr > 0.05, true) THEN 'YES' ELSE 'NO' END, ', staleness=', CASE WHEN coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) THEN 'YES' ELSE 'NO' END, ')') AS reasoning FROM ("
+    f"SELECT day_number, features_critical >= 3 AS drift_triggered, coalesce({_BASELINE} - new_auc_pr > 0.05, true) AS performance_triggered, coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) AS staleness_triggered, "
+    f"date_diff('day', last_retrain_date, report_date) AS days_since_retrain, features_critical >= 3 AND coalesce({_BASELINE} - new_auc_pr > 0.05, true) AND coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) AS should_retrain, "
+    f"concat(CASE WHEN features_critical >= 3 AND coalesce({_BASELINE} - new_auc_pr > 0.05, true) AND coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) THEN 'RETRAIN (' ELSE 'HOLD (' END, 'drift=', CASE WHEN features_critical >= 3 THEN 'YES' ELSE 'NO' END, "
+    f"', performance=', CASE WHEN coalesce({_BASELINE} - new_auc_pr > 0.05, true) THEN 'YES' ELSE 'NO' END, ', staleness=', CASE WHEN coalesce(date_diff('day', last_retrain_date, report_date) > 30, true) THEN 'YES' ELSE 'NO' END, ')') AS reasoning FROM ("
     "SELECT r.day_number, features_critical, CASE WHEN r.day_number % 7 <> 0 THEN new_auc_pr END AS new_auc_pr, date '2026-02-20' + r.day_number - 1 AS report_date, CASE WHEN r.day_number % 5 <> 0 THEN date '2026-02-15' END AS last_retrain_date FROM report r JOIN daily USING (day_number))",
     *_SCAN, _DAILY))
 def _(spark, d):
     day = F.col("day_number")
-    reports = _scan(spark, d).join(_daily_scores(spark, d), "day_number").select(
+    reports = _scan(spark, d).join(_daily_quality(spark, d), "day_number").select(
         "day_number",
         "features_critical",
         F.when(day % 7 != 0, F.col("new_auc_pr")).alias("current_aucpr"),
         F.date_add(F.lit(S.SIMULATION_START).cast("date"), day - 1).alias("report_date"),
         F.when(day % 5 != 0, F.lit("2026-02-15").cast("date")).alias("last_retrain_date"),
     )
-    out = lifecycle.three_criteria_gate(reports, RetrainPolicy(baseline_aucpr=0.36))
+    out = lifecycle.three_criteria_gate(reports, RetrainPolicy(baseline_aucpr=_BASELINE))
     return out.select("day_number", "drift_triggered", "performance_triggered", "staleness_triggered", F.col("days_since_retrain").cast("long").alias("days_since_retrain"), "should_retrain", "reasoning")
 
 
@@ -98,58 +108,47 @@ def _(spark, d):
 @query("lc05_canary", on_dies(
     "SELECT day_number, round(g, 6) AS improvement_pct, day_number >= 39 AS forced_failure, g > -10 AND day_number < 39 AS canary_passed FROM (SELECT day_number, (new_auc_pr - old_auc_pr) / greatest(old_auc_pr, 0.001e0) * 100 AS g FROM daily)", _DAILY))
 def _(spark, d):
-    return rounded(lifecycle.canary(_daily_scores(spark, d)).select("day_number", "improvement_pct", "forced_failure", "canary_passed"))
+    return rounded(lifecycle.canary(_daily_quality(spark, d)).select("day_number", "improvement_pct", "forced_failure", "canary_passed"))
 
 
 _REG = (
-    "registry AS (SELECT day_number, 'v' || day_number AS version, new_auc_pr, new_auc_pr > 0.32e0 AND day_number < 39 AS canary_passed FROM daily WHERE day_number % 3 = 0), "
+    "registry AS (SELECT day_number, 'v' || day_number AS version, new_auc_pr, (new_auc_pr - old_auc_pr) / greatest(old_auc_pr, 0.001e0) * 100 > -10 AND day_number < 39 AS canary_passed FROM daily), "
     "history AS (SELECT *, last_value(CASE WHEN canary_passed THEN version END IGNORE NULLS) OVER (ORDER BY day_number ROWS UNBOUNDED PRECEDING) AS champion, "
     "last_value(CASE WHEN canary_passed THEN new_auc_pr END IGNORE NULLS) OVER (ORDER BY day_number ROWS UNBOUNDED PRECEDING) AS champion_metric, "
     "last_value(CASE WHEN canary_passed THEN version END IGNORE NULLS) OVER (ORDER BY day_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_champion FROM registry)"
 )
 
 
-_REG_DAILY = _REG.replace(" FROM daily WHERE day_number % 3 = 0)", " FROM daily)")
+def _registry(spark, d):
+    """A version a day, with the canary's verdict on its average precision."""
+    tested = lifecycle.canary(_daily_quality(spark, d))
+    return tested.select("day_number", F.concat(F.lit("v"), F.col("day_number").cast("string")).alias("version"), "new_auc_pr", "canary_passed")
 
 
-def _registry(spark, d, every=3):
-    """A version for one day in ``every``; the queries with _daily in their names take all days."""
-    day = F.col("day_number")
-    return _daily_scores(spark, d).where(day % every == 0).select(
-        "day_number", F.concat(F.lit("v"), day.cast("string")).alias("version"), "new_auc_pr",
-        ((F.col("new_auc_pr") > 0.32) & (day < 39)).alias("canary_passed"),
-    )
+_CHAMPION_HISTORY = on_dies(
+    "SELECT day_number, version, canary_passed, champion, round(champion_metric, 9) AS champion_metric, previous_champion, CASE WHEN canary_passed THEN 'promote' ELSE 'rollback' END AS action FROM history", _DAILY, _REG)
 
 
-@query("lc06_champion_history", on_dies(
-    "SELECT day_number, version, canary_passed, champion, round(champion_metric, 9) AS champion_metric, previous_champion, CASE WHEN canary_passed THEN 'promote' ELSE 'rollback' END AS action FROM history", _DAILY, _REG))
+@query("lc06_champion_history", _CHAMPION_HISTORY)
+@query("lc06_champion_history_daily", _CHAMPION_HISTORY)
 def _(spark, d):
     return rounded(lifecycle.champion_history(_registry(spark, d)).drop("new_auc_pr"), 9)
 
 
-@query("lc06_champion_history_daily", on_dies(
-    "SELECT day_number, version, canary_passed, champion, round(champion_metric, 9) AS champion_metric, previous_champion, CASE WHEN canary_passed THEN 'promote' ELSE 'rollback' END AS action FROM history", _DAILY, _REG_DAILY))
-def _(spark, d):
-    return rounded(lifecycle.champion_history(_registry(spark, d, 1)).drop("new_auc_pr"), 9)
+_CHAMPION_AT_DAY = on_dies(
+    "SELECT d.day_number, h.champion, round(h.champion_metric, 9) AS champion_metric FROM (SELECT DISTINCT day_number FROM dies) d ASOF LEFT JOIN history h ON d.day_number >= h.day_number", _DAILY, _REG)
 
 
-@query("lc06_champion_at_day", on_dies(
-    "SELECT d.day_number, h.champion, round(h.champion_metric, 9) AS champion_metric FROM (SELECT DISTINCT day_number FROM dies) d ASOF LEFT JOIN history h ON d.day_number >= h.day_number", _DAILY, _REG))
+@query("lc06_champion_at_day", _CHAMPION_AT_DAY)
+@query("lc06_champion_at_day_daily", _CHAMPION_AT_DAY)
 def _(spark, d):
     days = dies(spark, d).select("day_number").distinct()
     return rounded(lifecycle.champion_at(days, lifecycle.champion_history(_registry(spark, d))), 9)
 
 
-@query("lc06_champion_at_day_daily", on_dies(
-    "SELECT d.day_number, h.champion, round(h.champion_metric, 9) AS champion_metric FROM (SELECT DISTINCT day_number FROM dies) d ASOF LEFT JOIN history h ON d.day_number >= h.day_number", _DAILY, _REG_DAILY))
+@query("lc07_promote_if_better", on_dies("SELECT day_number, new_auc_pr > old_auc_pr + 0.02e0 AS promote FROM daily", _DAILY))
 def _(spark, d):
-    days = dies(spark, d).select("day_number").distinct()
-    return rounded(lifecycle.champion_at(days, lifecycle.champion_history(_registry(spark, d, 1))), 9)
-
-
-@query("lc07_promote_if_better", on_dies("SELECT day_number, new_auc_pr > old_auc_pr * 1.1e0 + 0.02e0 AS promote FROM daily", _DAILY))
-def _(spark, d):
-    pairs = _daily_scores(spark, d).withColumn("current_auc_pr", F.col("old_auc_pr") * 1.1)
+    pairs = _daily_quality(spark, d).withColumnRenamed("old_auc_pr", "current_auc_pr")
     return lifecycle.promote_if_better(pairs, margin=0.02).select("day_number", "promote")
 
 
@@ -190,20 +189,15 @@ def _(spark, d):
     return rounded(lifecycle.fail_rate_vs_baseline(dies(spark, d)))
 
 
-@query("lc13_version_steps", on_dies(
+_VERSION_STEPS = on_dies(
     "SELECT day_number, model_version, dense_rank() OVER (ORDER BY f) - 1 AS version_index, coalesce(lag(model_version) OVER (ORDER BY day_number) <> model_version, false) AS is_transition FROM ("
-    "SELECT day_number, champion AS model_version, min(day_number) OVER (PARTITION BY champion) AS f FROM history WHERE champion IS NOT NULL)", _DAILY, _REG))
-def _(spark, d):
-    h = lifecycle.champion_history(_registry(spark, d)).where("champion IS NOT NULL")
-    out = lifecycle.version_steps(h.select("day_number", F.col("champion").alias("model_version")))
-    return out.withColumn("version_index", F.col("version_index").cast("long"))
+    "SELECT day_number, champion AS model_version, min(day_number) OVER (PARTITION BY champion) AS f FROM history WHERE champion IS NOT NULL)", _DAILY, _REG)
 
 
-@query("lc13_version_steps_daily", on_dies(
-    "SELECT day_number, model_version, dense_rank() OVER (ORDER BY f) - 1 AS version_index, coalesce(lag(model_version) OVER (ORDER BY day_number) <> model_version, false) AS is_transition FROM ("
-    "SELECT day_number, champion AS model_version, min(day_number) OVER (PARTITION BY champion) AS f FROM history WHERE champion IS NOT NULL)", _DAILY, _REG_DAILY))
+@query("lc13_version_steps", _VERSION_STEPS)
+@query("lc13_version_steps_daily", _VERSION_STEPS)
 def _(spark, d):
-    h = lifecycle.champion_history(_registry(spark, d, 1)).where("champion IS NOT NULL")
+    h = lifecycle.champion_history(_registry(spark, d)).where("champion IS NOT NULL")
     out = lifecycle.version_steps(h.select("day_number", F.col("champion").alias("model_version")))
     return out.withColumn("version_index", F.col("version_index").cast("long"))
 

@@ -88,22 +88,15 @@ def _(spark, d):
     return rounded(drift.divergence_report(df, ref, ["day_number"]).select("day_number", "feature", "kl"))
 
 
-@query("dr04_ks_two_sample", on_dies(
+_KS_TWO_SAMPLE = on_dies(
     "SELECT feature, n_reference, n_current, round(max(abs(ref_below / n_reference - cur_below / n_current)), 6) AS ks_statistic FROM ("
     "SELECT feature, value, sum(ref) OVER w AS ref_below, sum(cur) OVER w AS cur_below, cast(sum(ref) OVER (PARTITION BY feature) as bigint) AS n_reference, cast(sum(cur) OVER (PARTITION BY feature) as bigint) AS n_current "
-    "FROM (SELECT feature, value, count(*) FILTER (WHERE day_number <= 8) AS ref, count(*) FILTER (WHERE day_number > 30) AS cur FROM long WHERE day_number <= 8 OR day_number > 30 GROUP BY ALL) "
-    "WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY ALL", long_cte(NINE, keep="day_number")))
-def _(spark, d):
-    df = dies(spark, d)
-    ks = drift.ks_two_sample(df.where("day_number <= 8"), df.where("day_number > 30"), NINE)
-    return rounded(ks.select("feature", "n_reference", "n_current", "ks_statistic"))
+    "FROM (SELECT feature, value, count(*) FILTER (WHERE day_number <= 8) AS ref, count(*) FILTER (WHERE day_number > 8) AS cur FROM long WHERE day_number <= 8 OR day_number > 8 GROUP BY ALL) "
+    "WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY ALL", long_cte(NINE, keep="day_number"))
 
 
-@query("dr04_ks_two_sample_all_days", on_dies(
-    "SELECT feature, n_reference, n_current, round(max(abs(ref_below / n_reference - cur_below / n_current)), 6) AS ks_statistic FROM ("
-    "SELECT feature, value, sum(ref) OVER w AS ref_below, sum(cur) OVER w AS cur_below, cast(sum(ref) OVER (PARTITION BY feature) as bigint) AS n_reference, cast(sum(cur) OVER (PARTITION BY feature) as bigint) AS n_current "
-    "FROM (SELECT feature, value, count(*) FILTER (WHERE day_number <= 8) AS ref, count(*) FILTER (WHERE day_number > 8) AS cur FROM long WHERE day_number <= 8 OR day_number > 8 GROUP BY ALL) "
-    "WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY ALL", long_cte(NINE, keep="day_number")))
+@query("dr04_ks_two_sample", _KS_TWO_SAMPLE)
+@query("dr04_ks_two_sample_all_days", _KS_TWO_SAMPLE)
 def _(spark, d):
     df = dies(spark, d)
     ks = drift.ks_two_sample(df.where("day_number <= 8"), df.where("day_number > 8"), NINE)
