@@ -16,8 +16,9 @@ its true links. The components of those links are the result. The members' place
 are at most `broadcast_rows` rows; beyond that, texts and places are joined by an exchange.
 
 Defined cases: null texts and texts without words have an empty set, no links and themselves as component; a text with
-fewer words than `width` is one shingle; rows that repeat an id share its smallest component; rows without an
-id take the component of rows with an equal set, else null. Only id and text are read. Sets are told apart by the 64-bit sum of their
+fewer words than `width` is one shingle; rows that repeat an id or have none are compared as documents of their own, then
+rows of one id belong together whatever their texts; a component's name is its smallest id, null if none of its rows has
+one, so a row without an id links others as any row does. Only id and text are read. Sets are told apart by the 64-bit sum of their
 shingles' hashes together with their size.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import components, partitions, small_batches, stored
+from lotwise.llm.common import components, numbered, partitions, small_batches, stored
 from lotwise.llm.words import M1, M2, mix, shingles, slices, text_bytes, word_hashes
 
 SKETCH_WORDS = 2
@@ -302,10 +303,25 @@ def jaccard_components(
     docs: DataFrame, key: str, text: str, width: int = 3, percent: int = 90, block_sets: int = 256, block_items: int = 1 << 20,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
-    """key, n_shingles, component of every row; component is the smallest linked key, its own without links."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    """key, n_shingles, component_id of every row: the smallest id reachable by links and by rows of the same id."""
+    small_batches(docs.sparkSession)
+    rows, own = numbered(docs, key, text)
+    found = _numbered_components(rows, width, percent, block_sets, block_items, broadcast_rows)
+    if own is None:
+        return found.select(F.col("key").alias(key), "n_shingles", "component_id")
+    rows = stored(found.join(own.select("number", F.col("key").alias("real")), F.col("key") == F.col("number")).drop("number"))
+    same = rows.where("real is not null").groupBy("real").agg(F.min("key").alias("first"))
+    twins = rows.join(same, "real").select("key", F.col("first").alias("other"))
+    merged = components(rows.select("key", F.col("component_id").alias("other")).unionByName(twins), "key", "other")
+    grouped = rows.join(merged, F.col("key") == F.col("id"), "left").withColumn("of", F.coalesce("component", "key"))
+    least = grouped.groupBy("of").agg(F.min("real").alias("least"))
+    return grouped.join(least.withColumnRenamed("of", "named"), F.col("of") == F.col("named")).select(
+        F.col("real").alias(key), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _numbered_components(rows: DataFrame, width: int, percent: int, block_sets: int, block_items: int, broadcast_rows: int) -> DataFrame:
+    """The same for rows (key, text) whose keys are unique."""
+    spark = rows.sparkSession
     described = stored(rows.mapInArrow(_describe(width, percent), "key long, n int, sid long, shingle long, times long"))
     texts = described.where("n is not null").select("key", "n", "sid")
     repeats = described.where("times is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
@@ -349,4 +365,4 @@ def jaccard_components(
     classes = classes.select("sid", F.col("key").alias("own")).join(found, "sid", "left").select(
         F.col("sid").alias("set"), F.coalesce("least", "own").alias("least"))
     out = texts.join(classes, (F.col("sid") == F.col("set")) & (F.col("n") > 0), "left")
-    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
+    return out.select("key", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))

@@ -1,9 +1,8 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir); all but the last return the columns of documents.
 
 Defined cases: null and empty texts are kept by every filter (an empty text links with nothing, holds no benchmark item
-and scores as the bias does); rows without an id are kept by the benchmark filter, which works by id, and rows that
-repeat an id share its decision there; for near-duplicates each row is a document of its own. Further columns are
-passed on as they are.
+and scores as the bias does); for near-duplicates and benchmark items each row is a document of its own, whether its id is
+missing or repeated. Further columns are passed on as they are.
 """
 
 from __future__ import annotations
@@ -25,13 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, "text", machine, docs.columns, SCORE).where(F.col(SCORE) < TOXIC_FROM).drop(SCORE)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of linked ones: five-word shingles, Jaccard 0.8 or more."""
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own: the id, or their place in order of ids and texts if ids repeat or are missing."""
     seen = docs.agg(F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if seen[0] == seen[1] == seen[2]:
-        rows = docs.withColumn(NUMBER, F.col("doc_id").cast("long"))
-    else:
-        rows = stored(docs.sort(F.col("doc_id").asc_nulls_first(), F.md5("text")).withColumn(NUMBER, F.monotonically_increasing_id()))
+        return docs.withColumn(NUMBER, F.col("doc_id").cast("long"))
+    return stored(docs.sort(F.col("doc_id").asc_nulls_first(), F.md5("text")).withColumn(NUMBER, F.monotonically_increasing_id()))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of each group of linked ones: five-word shingles, Jaccard 0.8 or more."""
+    rows = _numbered(docs)
     groups = heavylight.jaccard_components(rows, NUMBER, "text", width=5, percent=80)
     gone = stored(groups.where(F.col("component_id") != F.col(NUMBER)).select(NUMBER))
     return rows.join(gone, NUMBER, "left_anti").drop(NUMBER).select(*docs.columns)
@@ -39,9 +42,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain at least 0.8 of a benchmark item's five-word shingles."""
+    rows = _numbered(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = stored(containment.contained(docs, "doc_id", "text", items, "item_id", "text").select(F.col("doc").alias("doc_id")).distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = stored(containment.contained(rows, NUMBER, "text", items, "item_id", "text").select(F.col("doc").alias(NUMBER)).distinct())
+    return rows.join(found, NUMBER, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,15 @@ def near_copies(seed):
     return list(enumerate(rows))
 
 
+def test_jaccard_links_through_rows_without_an_id_and_rows_of_one_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda low, high: " ".join([*(f"x{i}" for i in range(low)), *words[low:60 - high], *(f"y{i}" for i in range(high))])
+    rows = [(5, near(0, 0)), (None, near(2, 0)), (7, near(2, 2)), (2, "a b c d"), (2, "e f g h"), (1, "a b c d"), (3, "e f g h"), (None, "lonely text of its own"), (None, None)]
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "id long, text string, number int")
+    got = sorted(((r.id, r.component_id) for r in heavylight.jaccard_components(docs, "id", "text").collect()), key=str)
+    assert got == sorted([(5, 5), (None, 5), (7, 5), (2, 1), (2, 1), (1, 1), (3, 1), (None, None), (None, None)], key=str)
+
+
 @pytest.mark.parametrize(("width", "percent", "block"), [(3, 90, 256), (5, 80, 4)])
 def test_jaccard_components(spark, width, percent, block):
     rows = near_copies(width)
