@@ -317,3 +317,37 @@ def test_passages_whose_parts_are_elsewhere(spark):
 def test_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, connect(sf), sf, "op4", queries.op4_heavy_light_join, queries.OP4_SQL)["status"] == "match"
+
+
+@pytest.mark.parametrize("identity", [0.8, 0.9])
+def test_recall_at_the_least_length_and_with_parts_elsewhere(spark, identity):
+    """Passages of 50 words with edits between their first and last word; and of 60 words, edited on both sides, whose
+    thirds stand unedited in six more documents."""
+    rng = random.Random(11)
+    rows, want = [], {50: [], 60: []}
+
+    def document(words, n=30):
+        head = [f"h{len(rows)}x{x}" for x in range(rng.randint(5, 60))]
+        rows.append((len(rows), " ".join([*head, *words, *(f"t{len(rows)}x{x}" for x in range(n))])))
+        return len(rows) - 1, len(head)
+
+    def changed(words, share):
+        words = list(words)
+        for x in rng.sample(range(1, len(words) - 1), round(len(words) * share)):
+            words[x] = f"edit{rng.randrange(10 ** 6)}"
+        return words
+
+    for _ in range(100):
+        base = [rng.choice(WORDS) for _ in range(50)]
+        want[50].append((*document(base), *document(changed(base, 1 - identity))))
+        base = [rng.choice(WORDS) for _ in range(60)]
+        want[60].append((*document(changed(base, (1 - identity) / 2)), *document(changed(base, (1 - identity) / 2))))
+        for i in range(6):
+            document(base[i % 3 * 20:i % 3 * 20 + 20], 10)
+    found = {}
+    for r in chaining.passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect():
+        found.setdefault((r.source, r.key), []).append(r)
+    for n, pairs in want.items():
+        hit = [any(min(r.source_end, a0 + n) - max(r.source_start, a0) >= 0.75 * n and min(r.end, b0 + n) - max(r.start, b0) >= 0.75 * n for r in found.get((a, b), []))
+               for a, a0, b, b0 in pairs]
+        assert sum(hit) >= 0.95 * len(hit)
