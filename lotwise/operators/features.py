@@ -13,9 +13,9 @@ from lotwise.functions.columns import clip, ratio, struct_rows
 from lotwise.operators.quantiles import quantile_table
 
 
-
 # --- engineered columns ------------------------------------------------------------------------
 
+# Names, inputs and formulas of both feature sets must equal the published ones.
 def _recipes_log_scale(c) -> dict[str, tuple[tuple[str, ...], Column]]:
     tiny = 1e-8
     return {

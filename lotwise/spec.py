@@ -171,6 +171,7 @@ RISK_BASE, RISK_LEAKAGE_WEIGHT, RISK_UNCORRECTABLE_WEIGHT, RISK_TIME_WEIGHT = 0.
 RISK_LEAKAGE_Z_START, RISK_LEAKAGE_Z_SPAN, RISK_CAP = 2.0, 5.0, 0.95
 RISK_EDGE_GAIN, RISK_EDGE_START, RISK_EDGE_SPAN = 6.0, 0.55, 0.45
 
+# Columns and types of a message must equal the published ones.
 PRODUCTION_DDL = (
     "die_x SMALLINT, die_y SMALLINT, edge_distance FLOAT, tester_id STRING, probe_card_id STRING, "
     "chamber_id STRING, recipe_version STRING, test_temp_c FLOAT, cell_leakage_fa FLOAT, "
