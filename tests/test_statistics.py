@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.columns import clip, right_closed_bin, stable_key, width_bin
 from lotwise.operators import profile, quantiles, running
+from lotwise.session import settings
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +106,19 @@ def test_samples_are_cut_digit_by_digit(spark, sorted_rows):
     assert running.sample_exact(df, 20_000, ["id"], sorted_rows=sorted_rows).count() == 20_000
     assert running.sample_exact(df, 30_000, ["id"]).columns == df.columns
     assert running.sample_exact(df, 4001, ["part"], sorted_rows=sorted_rows).count() == 4001  # five keys for all rows
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_groups_are_ranked_without_bringing_a_column_to_one_task(spark):
+    rows = [(float(i % 997) * 1.5, None if i % 7 == 0 else float(i * i % 1009)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        found = quantiles.exact_quantiles(df, ["a", "b"], [0.25, 0.5], group_limit=100)
+        assert "SortMergeJoin" not in _plan(found)
+        got = {r["feature"]: list(r["q"]) for r in found.collect()}
+    for i, c in enumerate("ab"):
+        values = np.array([r[i] for r in rows if r[i] is not None])
+        assert np.allclose(got[c], np.quantile(values, [0.25, 0.5]))
