@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from lotwise import spec as S
 from lotwise.functions.columns import clip, ratio, struct_rows
 from lotwise.operators.quantiles import quantile_table
+from lotwise.session import cut_lineage
+
+CODES_IN_PLAN = 10_000
 
 
 # --- engineered columns ------------------------------------------------------------------------
@@ -89,16 +92,27 @@ def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return distinct.select("feature", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
 
 
+def small_or_stored(codes: DataFrame) -> tuple[DataFrame, bool]:
+    """Dictionaries of a few values become part of the plan; larger ones are materialised once. Tells which."""
+    head = codes.limit(CODES_IN_PLAN + 1).collect()
+    if len(head) <= CODES_IN_PLAN:
+        return codes.sparkSession.createDataFrame(head, codes.schema), True
+    return cut_lineage(codes), False
+
+
 def encode(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen: int = -1) -> DataFrame:
     """Replace each category by its code, ``unseen`` for values the dictionary lacks.
 
-    A plain left join per column: the planner broadcasts the dictionary only while it is small.
+    A left join per column. Dictionaries of up to ``CODES_IN_PLAN`` rows are broadcast: a few values would meet in as few
+    tasks. Larger ones are joined as they are.
     """
     out = df
+    codes, small = small_or_stored(codes)
     for c in columns:
         lookup = codes.where(F.col("feature") == c).select(
             F.col("value").alias(f"_{c}_value"), F.col("code").alias(f"_{c}_code")
         )
+        lookup = F.broadcast(lookup) if small else lookup
         out = out.join(lookup, F.col(c).cast("string") == F.col(f"_{c}_value"), "left")
     names = [
         F.coalesce(F.col(f"_{c}_code"), F.lit(unseen)).alias(c) if c in columns else F.col(c) for c in df.columns

@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.operators import clean, features, quality
-from lotwise.session import cut_lineage
 from lotwise.spec import DRAM, FeatureSpec
 
-CODES_IN_PLAN = 10_000
 _TABLE = "kind string, feature string, text string, a double, b double"
 
 
@@ -100,18 +98,10 @@ def fit(train: DataFrame, spec: FeatureSpec = DRAM, strict_bounds: bool = False)
 def _fit(train: DataFrame, spec: FeatureSpec, numeric: list[str], categorical: list[str], strict_bounds: bool) -> Preparation:
     medians = clean.fit_medians(train, numeric)
     modes = clean.fit_modes(train, categorical)
-    codes = _small_or_stored(features.category_codes(clean.impute(train, modes), categorical))
+    codes, _ = features.small_or_stored(features.category_codes(clean.impute(train, modes), categorical))
     first = Preparation(spec, medians, modes, {}, {}, codes)
     bounds = clean.fit_winsor_bounds(_imputed(train, first), numeric, strict=strict_bounds)
     second = Preparation(spec, medians, modes, bounds, {}, codes)
     encoded = second._encoded(train)
     names = [c for c in spec.all_features if c in encoded.columns]
     return Preparation(spec, medians, modes, bounds, features.fit_moments(encoded, names), codes)
-
-
-def _small_or_stored(codes: DataFrame) -> DataFrame:
-    """Dictionaries of a few values become part of the plan; larger ones are materialised once."""
-    head = codes.limit(CODES_IN_PLAN + 1).collect()
-    if len(head) <= CODES_IN_PLAN:
-        return codes.sparkSession.createDataFrame(head, codes.schema)
-    return cut_lineage(codes)

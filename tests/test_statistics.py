@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.functions.columns import clip, right_closed_bin, stable_key, width_bin
-from lotwise.operators import profile, quantiles, running
+from lotwise.operators import features, profile, quantiles, running
 from lotwise.session import settings
 
 
@@ -122,3 +122,12 @@ def test_large_groups_are_ranked_without_bringing_a_column_to_one_task(spark):
     for i, c in enumerate("ab"):
         values = np.array([r[i] for r in rows if r[i] is not None])
         assert np.allclose(got[c], np.quantile(values, [0.25, 0.5]))
+
+
+def test_small_dictionaries_do_not_move_the_encoded_rows(spark):
+    df = spark.createDataFrame([("x", 1), ("y", 2), (None, 3), ("z", 4)], "name string, id int")
+    codes = features.category_codes(df.where("id < 4"), ["name"])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        found = features.encode(df, codes, ["name"])
+        assert "SortMergeJoin" not in _plan(found)
+        assert {r["id"]: r["name"] for r in found.collect()} == {1: 0, 2: 1, 3: -1, 4: -1}
