@@ -108,12 +108,13 @@ def sliding_psi(sketches: DataFrame, width: int, day: str = "day_number", t: Dri
 
 
 def rank_check(df: DataFrame, window: DataFrame, places: Sequence[float], width: int, tolerance: float, day: str = "day_number") -> DataFrame:
-    """(day, feature, place, within): whether a window's quantile has the rank it stands for, counted over the rows."""
+    """(day, feature, place, within): whether a window's quantile has the rank it stands for, counted over the rows.
+    The windows (a row a day and feature) are broadcast, so rows are counted where they are read."""
     features = [r[0] for r in window.select("feature").distinct().collect()]
     asked = window.select(F.col(day).alias("_day"), F.col("feature").alias("_feature"), F.arrays_zip(
         F.array(*[F.lit(float(p)) for p in places]).alias("place"), quantiles(window, places).alias("value")).alias("asked"))
     long = long_form(df, features, [day]).withColumn("_target", F.explode(F.sequence(F.col(day) + 1, F.col(day) + F.lit(width))))
-    counted = long.join(asked, (F.col("_target") == F.col("_day")) & (F.col("feature") == F.col("_feature"))).groupBy("_target", "feature").agg(
+    counted = long.join(F.broadcast(asked), (F.col("_target") == F.col("_day")) & (F.col("feature") == F.col("_feature"))).groupBy("_target", "feature").agg(
         F.count("*").alias("n"), F.first("asked").alias("asked"),
         *[f(F.count_if(F.col("value") < F.col("asked")[i]["value"]), F.count_if(F.col("value") <= F.col("asked")[i]["value"])).alias(f"r{i}") for i in range(len(places)) for f in (F.struct,)])
     rows = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("place"), F.col(f"r{i}").alias("r")) for i, p in enumerate(places)]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.columns import normal_cdf
 from lotwise.operators import drift, sketches
+from lotwise.session import settings
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +86,15 @@ def test_every_day_and_feature_equals_the_single_test(spark, days):
         assert found[d, f].ks_pvalue == pytest.approx(want.pValue, abs=0.01)
     whole = drift.ks_normal(days, ref).collect()
     assert {r.feature: r.n for r in whole} == {"a": 36000, "b": days.where("b is not null").count()}
+
+
+def test_rank_check_counts_rows_where_they_are_read(spark, days, tmp_path):
+    path = str(tmp_path / "t")
+    sketches.update(days, path, ["a", "b"])
+    window = sketches.sliding(sketches.read(spark, path), 3).where("day_number > 3")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        found = sketches.rank_check(days, window, [0.5], 3, 0.01)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "rightHint=(strategy=broadcast)" in plan
+        rows = found.collect()
+    assert len(rows) == 18 and all(r.within for r in rows)
