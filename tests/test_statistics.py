@@ -1,11 +1,13 @@
 """Quantiles, running totals, ranks and profiles on hand-made rows."""
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lotwise.functions.columns import clip, right_closed_bin, stable_key, width_bin
-from lotwise.operators import features, profile, quantiles, running
+from lotwise.operators import features, neighbors, profile, quantiles, running
 from lotwise.session import settings
 
 
@@ -131,3 +133,13 @@ def test_small_dictionaries_do_not_move_the_encoded_rows(spark):
         found = features.encode(df, codes, ["name"])
         assert "SortMergeJoin" not in _plan(found)
         assert {r["id"]: r["name"] for r in found.collect()} == {1: 0, 2: 1, 3: -1, 4: -1}
+
+
+def test_visits_leave_a_task_in_bounded_parts():
+    centres = np.zeros((300, 2))
+    rings = [Row(cell=i, radius=1.0, reach=2.0) for i in range(300)]
+    batch = pd.DataFrame({"vid": [str(i) for i in range(100)], "v": [[0.1, 0.2]] * 100})
+    parts = list(neighbors._cells_to_visit(centres, rings)(iter([batch])))
+    assert sum(map(len, parts)) == 300 * 100 and max(map(len, parts)) <= neighbors.SENT_ROWS
+    placed = list(neighbors._to_nearest_cell(centres)(iter([pd.concat([batch] * 30)])))
+    assert sum(map(len, placed)) == 3000 and max(map(len, placed)) <= neighbors.MEASURED_ROWS
