@@ -2,7 +2,7 @@
 
 Features are cut into quantile bins once and the binned rows are written to the shared folder: a byte a feature. A level
 of a tree is one pass over those rows: tasks find the open node of each row and add up gradients, second derivatives and
-rows by (node, feature, bin); the sums meet in one grouped sum of nodes x features x bins rows, whatever the number of rows.
+rows by (node, feature, bin), for the smaller one of two children, the other is the difference from their parent; the sums meet in one grouped sum of nodes x features x bins rows, whatever the number of rows.
 The driver holds the model and those sums alone. Sums are of integers (gradients in fixed steps), so a model depends
 neither on partitions nor on the order of rows.
 
@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from lotwise.operators.quantiles import quantile_table
-from lotwise.session import shared_folder
+from lotwise.session import settings, shared_folder
 from lotwise.spec import FocalParams
 
-KEPT_TREES = 8
+KEPT_TREES = 4
+ARROW_ROWS = 50_000  # a batch: few calls a pass, and its columns still fit a core's cache
 SMALL = 1e-6  # a margin that changes no score
 SCORE_STEPS = 4096  # of the scores that validation counts
 LEAF = -1
@@ -75,7 +76,7 @@ LEAF_WISE = BoostParams(growth="leaf", rows=1.0, min_weight=1e-3, min_rows=20, m
 
 @dataclass
 class Tree:
-    """Flat arrays by node; a leaf has feature -1. Rows with a value below ``cut`` go ``below``."""
+    """Flat arrays by node; a leaf has feature -1. Rows with a value below ``cut`` go ``below``. Children come after their parent."""
 
     feature: np.ndarray
     cut: np.ndarray
@@ -87,9 +88,27 @@ class Tree:
     gain: np.ndarray
     n: np.ndarray
 
-    def nodes(self, x: np.ndarray, missing: np.ndarray, binned: bool) -> np.ndarray:
+    def binned_nodes(self, x: np.ndarray, bins: int) -> np.ndarray:
+        """Node in which each row of bins ends; `bins` itself stands for a missing value. One table holds the next node by
+        node and bin, so a level is three lookups a row."""
+        inner = self.feature != LEAF
+        left = np.arange(bins + 1) <= self.cut_bin[:, None]
+        left[:, bins] = self.missing_left
+        after = np.where(inner[:, None], np.where(left, self.below[:, None], self.above[:, None]), np.arange(len(inner))[:, None]).ravel()
+        feature, flat = np.where(inner, self.feature, 0).astype(np.int64), x.ravel()
+        at, start = np.zeros(len(x), dtype=np.int64), np.arange(len(x)) * x.shape[1]
+        for _ in range(self._depth()):
+            at = after[at * (bins + 1) + flat[start + feature[at]]]
+        return at
+
+    def _depth(self) -> int:
+        depth = np.zeros(len(self.feature), dtype=np.int64)
+        for i in np.flatnonzero(self.feature != LEAF).tolist():
+            depth[[self.below[i], self.above[i]]] = depth[i] + 1
+        return int(depth.max())
+
+    def nodes(self, x: np.ndarray, missing: np.ndarray) -> np.ndarray:
         """Node in which each row of x ends."""
-        limit = self.cut_bin if binned else self.cut
         at, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
         while True:
             feature = self.feature[at]
@@ -99,7 +118,7 @@ class Tree:
             f = np.where(inner, feature, 0)
             value, gone = x[rows, f], missing[rows, f]
             with np.errstate(invalid="ignore"):
-                left = np.where(gone, self.missing_left[at], value <= limit[at] if binned else value < limit[at])
+                left = np.where(gone, self.missing_left[at], value < self.cut[at])
             at = np.where(inner, np.where(left, self.below[at], self.above[at]), at)
 
 
@@ -114,7 +133,7 @@ class Boosted:
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         missing = np.isnan(x)
-        return self.start + sum((t.value[t.nodes(x, missing, False)] for t in self.trees), np.zeros(len(x)))
+        return self.start + sum((t.value[t.nodes(x, missing)] for t in self.trees), np.zeros(len(x)))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         parts = [pd.DataFrame({
@@ -203,8 +222,14 @@ def _binned(edges: list[np.ndarray], bins: int):
 BINNED = "y int, checked boolean, pick long, x binary, margin double"
 
 
+def _first_byte(rows: pa.Array) -> int:
+    kind = np.int64 if pa.types.is_large_binary(rows.type) else np.int32
+    return int(np.frombuffer(rows.buffers()[1], dtype=kind, count=1, offset=rows.offset * kind().itemsize)[0])
+
+
 def _read(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
-    x = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, width)
+    rows = batch.column(3)  # of one width and never null, so they lie behind each other
+    x = np.frombuffer(rows.buffers()[2], dtype=np.uint8, count=len(rows) * width, offset=_first_byte(rows)).reshape(-1, width)
     return batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(), x, batch.column(4).to_numpy()
 
 
@@ -214,7 +239,7 @@ def _with_margins(trees: list[Tree], width: int, bins: int):
             if batch.num_rows:
                 *_, x, margin = _read(batch, width)
                 for t in trees:
-                    margin = margin + t.value[t.nodes(x, x == bins, True)]
+                    margin = margin + t.value[t.binned_nodes(x, bins)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margin)], names=batch.schema.names)
 
     return run
@@ -249,7 +274,7 @@ def _sums(ask: _Ask, p: BoostParams, width: int, scale: float, positive: float):
                 continue
             y, checked, pick, x, margin = _read(batch, width)
             for t in ask.trees:
-                margin = margin + t.value[t.nodes(x, x == p.bins, True)]
+                margin = margin + t.value[t.binned_nodes(x, p.bins)]
             weight = np.where(y == 1, positive, 1.0)
             if ask.checking and checked.any():
                 step = np.minimum((_sigmoid(margin[checked]) * SCORE_STEPS).astype(np.int64), SCORE_STEPS - 1)
@@ -261,7 +286,7 @@ def _sums(ask: _Ask, p: BoostParams, width: int, scale: float, positive: float):
                 continue
             used = ~checked & drawn(pick, ask.number, p.rows)
             if ask.tree is not None:
-                place = slot[ask.tree.nodes(x, x == p.bins, True)]
+                place = slot[ask.tree.binned_nodes(x, p.bins)]
                 used &= place >= 0
             else:
                 place = np.zeros(len(y), dtype=np.int64)
@@ -348,6 +373,23 @@ class _Grower:
         self.children[node] = (self.add(left), self.add(self.sums[node] - left))
         return list(self.children[node])
 
+    def to_count(self, nodes: list[int]) -> list[int]:
+        """Nodes whose rows have to be counted: of two open children the smaller one, the other is what it leaves of their parent."""
+        wanted = set(nodes)
+        for pair in self.children:
+            if pair and wanted.issuperset(pair):
+                wanted.discard(max(pair, key=lambda i: self.sums[i][2]))
+        return [i for i in nodes if i in wanted]
+
+    def completed(self, counted: dict[int, np.ndarray], nodes: list[int], above: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        """Histograms of all open nodes from the counted ones and those of the level above; sums are integers, so they are exact."""
+        out = dict(counted)
+        for parent, pair in enumerate(self.children):
+            for mine, other in (pair, pair[::-1]) if pair else ():
+                if mine in nodes and mine not in out:
+                    out[mine] = above[parent] - counted[other]
+        return out
+
     def worth_searching(self, node: int) -> bool:
         _, h, n = self.sums[node]
         return n >= 2 * max(self.p.min_rows, 1) and h / self.scale >= 2 * self.p.min_weight
@@ -426,6 +468,11 @@ def fit(
 ) -> Boosted:
     """Fits on the rows with a label where ``validation`` is not true; it marks the rows that decide when to stop.
     ``key`` names the columns whose hash draws the rows of each tree."""
+    with settings(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS)}):
+        return _fit(df, columns, label, key, validation, p)
+
+
+def _fit(df: DataFrame, columns: Sequence[str], label: str, key: Sequence[str], validation: Column | None, p: BoostParams) -> Boosted:
     spark, columns = df.sparkSession, list(columns)
     if p.bins > 128 or p.bins & (p.bins - 1):
         raise ValueError("bins must be a power of two up to 128")
@@ -455,20 +502,23 @@ def fit(
         chosen = sorted(random.choice(len(columns), max(1, round(p.features * len(columns))), replace=False).tolist())
         last = number == p.trees
         grower = _Grower(chosen, edges, p, scale)
-        open_nodes, partial = [0], None
+        open_nodes, counted, partial = [0], [0], None
+        histograms: dict[int, np.ndarray] = {}
         for depth in range(1 if last else p.depth):
             numbers = grower.numbers() if grower.sums else {0: 0}
             measured = checking and depth == 0 and number > 0
             if last and not measured:
                 break
-            found = ask(_Ask(number, since, partial, [] if last else [numbers[i] for i in open_nodes], chosen, measured))
+            found = ask(_Ask(number, since, partial, [] if last else [numbers[i] for i in counted], chosen, measured))
             if measured:
                 model.history.append(_measure(found, p, scale))
                 last = last or len(model.history) >= kept_trees(model.history, p) + p.patience
             if last:
                 break
-            by_node = _histograms(found, [numbers[i] for i in open_nodes], chosen, p.bins)
-            open_nodes = [c for i in open_nodes for c in grower.searched(i, by_node[numbers[i]]) if grower.worth_searching(c)]
+            by_node = _histograms(found, [numbers[i] for i in counted], chosen, p.bins)
+            histograms = grower.completed({i: by_node[numbers[i]] for i in counted}, open_nodes, histograms)
+            open_nodes = [c for i in open_nodes for c in grower.searched(i, histograms[i]) if grower.worth_searching(c)]
+            counted = grower.to_count(open_nodes)
             if not open_nodes:
                 break
             partial = grower.tree()

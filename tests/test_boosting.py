@@ -1,6 +1,7 @@
 """Histogram boosting against a plain implementation, its stop rule, stored models and missing values."""
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -188,3 +189,31 @@ def test_thin_inputs(spark):
     assert B.score(empty, frame(spark, x, np.zeros(20)), ["id"]).count() == 20
     with pytest.raises(ValueError):
         B.fit(frame(spark, x, np.zeros(20)), ["f0"], "y", ["id"], p=B.BoostParams(bins=100))
+
+
+def test_passes_count_the_smaller_child_and_walk_bins_by_table():
+    random = np.random.default_rng(3)
+    p = replace(B.LEVEL_WISE, min_weight=0.0, min_rows=1)
+    edges = [np.arange(1.0, 8.0)] * 2
+    grower = B._Grower([0, 1], edges, p, 1.0)
+    x = random.integers(0, 8, (500, 2)).astype(np.uint8)
+    x[::11, 0] = p.bins
+    g = random.integers(-50, 50, 500) + 40 * (x[:, 0] > 3) - 30 * (x[:, 1] > 5)
+
+    def counted(rows):
+        out = np.zeros((3, 2, p.bins + 1), dtype=np.int64)
+        for f in range(2):
+            for i, w in enumerate((g, np.full(500, 7), np.ones(500, dtype=np.int64))):
+                np.add.at(out[i, f], x[rows, f], w[rows])
+        return out
+
+    everything = counted(np.arange(500))
+    opened = grower.searched(0, everything)
+    assert len(opened) == 2
+    asked = grower.to_count(opened)
+    assert len(asked) == 1 and grower.sums[asked[0]][2] <= 250
+    at = grower.tree().binned_nodes(x, p.bins)
+    number = grower.numbers()
+    parts = {i: counted(np.flatnonzero(at == number[i])) for i in opened}
+    whole = grower.completed({asked[0]: parts[asked[0]]}, opened, {0: everything})
+    assert all((whole[i] == parts[i]).all() for i in opened)
