@@ -104,6 +104,29 @@ def test_knn_imputation_equals_brute_force(spark, block, query):
         assert got[key] == pytest.approx(tuple(want))
 
 
+def test_gaps_search_only_the_donors_that_can_be_near(spark):
+    rng = np.random.default_rng(3)
+    cells = [[None if rng.random() < 0.15 else float(v) for v in row] for row in np.round(rng.uniform(0, 100, (1500, 3)), 1)]
+    rows = [(f"k{i:04d}", *c) for i, c in enumerate(cells)] + [(None, 1.0, None, 2.0), ("far", None, -900.0, 5.0)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, c double").repartition(4)
+    found = clean.nearest_values(df, df, ["a", "b", "c"], "id", 3, 25, 40).toPandas()
+    gaps = [(r[0], j) for r in rows for j in range(3) if r[0] and r[1 + j] is None and any(x is not None for x in r[1:])]
+    assert len(found) < 60 * len(gaps)  # 3 from each of 60 blocks and more if all were searched
+    best = found.sort_values(["distance", "donor"], na_position="first").groupby(["row_key", "place"]).head(3)
+    got = {g: list(zip(t["donor"], t["distance"])) for g, t in best.groupby(["row_key", "place"])}
+    values = {r[0]: r[1:] for r in rows}
+    assert set(got) == set(gaps)
+    for key, j in [*gaps[::9], ("far", 0)]:
+        near = []
+        for d_key, *d in rows:
+            both = [(x - y) ** 2 for x, y in zip(values[key], d) if x is not None and y is not None]
+            if d[j] is not None and both:
+                near.append(((sum(both) * 3 / len(both)) ** 0.5, d_key or "", d_key))
+        want = sorted(near)[:3]
+        assert [d or None for d, _ in got[key, j]] == [d for _, _, d in want]
+        assert [x for _, x in got[key, j]] == pytest.approx([x for x, _, _ in want])
+
+
 def test_knn_imputation_has_no_donor_limit(spark):
     df = spark.range(210_000).select("id", (F.col("id") % 1000).cast("double").alias("a"), F.when(F.col("id") % 30_000 != 7, F.col("id") % 1000 * 2.0).alias("b"))
     filled = clean.knn_impute(df, df, ["a", "b"], "id").where("id % 30000 = 7")
