@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lotwise.functions.columns import long_form, same_key, struct_rows
 
 GROUP_LIMIT = 1_000_000
+RANKED_LIMIT = 100_000  # values of a bucket that are sorted; a column has up to two buckets a rank
 BUCKETS = 1024
 
 
@@ -52,7 +53,7 @@ def exact_quantiles(
         return _in_one_pass(values, keys, probs)
     spark = df.sparkSession
     big_keys = spark.createDataFrame(big, sizes.schema)
-    large = _by_narrowing(values, big_keys, keys, probs, group_limit)
+    large = _by_narrowing(values, big_keys, keys, probs, min(group_limit, RANKED_LIMIT))
     if len(big) == len(columns) and not by:
         return large
     small = values.join(F.broadcast(big_keys), same_key(values, big_keys, keys), "left_anti")

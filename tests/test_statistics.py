@@ -126,6 +126,15 @@ def test_large_groups_are_ranked_without_bringing_a_column_to_one_task(spark):
         assert np.allclose(got[c], np.quantile(values, [0.25, 0.5]))
 
 
+def test_buckets_are_narrowed_until_few_values_are_sorted(spark, monkeypatch):
+    df = spark.range(4000).select((F.col("id") + F.when(F.col("id") == 3999, 1e6).otherwise(0.0)).alias("a"))  # one far value: all others in few buckets
+    sorted_rows, ranked = [], quantiles._ranked
+    monkeypatch.setattr(quantiles, "RANKED_LIMIT", 50)
+    monkeypatch.setattr(quantiles, "_ranked", lambda inside, keys: (sorted_rows.extend(r["count"] for r in inside.groupBy(*keys, "lo").count().collect()), ranked(inside, keys))[1])
+    found = quantiles.quantile_table(df, ["a"], [0.25, 0.5], group_limit=3999)["a"]
+    assert found == pytest.approx([999.75, 1999.5]) and max(sorted_rows, default=0) <= 50
+
+
 def test_small_dictionaries_do_not_move_the_encoded_rows(spark):
     df = spark.createDataFrame([("x", 1), ("y", 2), (None, 3), ("z", 4)], "name string, id int")
     codes = features.category_codes(df.where("id < 4"), ["name"])
