@@ -351,3 +351,17 @@ def test_recall_at_the_least_length_and_with_parts_elsewhere(spark, identity):
         hit = [any(min(r.source_end, a0 + n) - max(r.source_start, a0) >= 0.75 * n and min(r.end, b0 + n) - max(r.start, b0) >= 0.75 * n for r in found.get((a, b), []))
                for a, a0, b, b0 in pairs]
         assert sum(hit) >= 0.95 * len(hit)
+
+
+def test_a_step_hashes_only_the_documents_it_needs(monkeypatch):
+    read, hashes = [], chaining.word_hashes
+    monkeypatch.setattr(chaining, "word_hashes", lambda data, *rest: (read.append(len(data)), hashes(data, *rest))[1])
+    left = pa.table({"key": pa.array([2, 1, 3], pa.int64()), "text": pa.array(["a b c", "u v w x y z", None])})
+    copies = pa.table({"key": pa.array([1], pa.int64()), "source": pa.array([2], pa.int64())})
+    assert [tuple(r.values()) for r in chaining._whole(left, copies).to_pylist()] == [(1, 0, 6, 2, 0, 6, 6)]
+    types = {"key": pa.int64(), "source": pa.int64(), "from": pa.int64(), "words": pa.binary(), "ats": pa.list_(pa.int32()), "source_ats": pa.list_(pa.int32())}
+    assert chaining._passages(5, 50, 0.8)(left, pa.table({c: pa.array([], t) for c, t in types.items()})).num_rows == 0
+    assert sum(read) == len("u v w x y z")
+    keys, words, starts = chaining._block(left, 0)
+    assert keys.tolist() == [1, 2, 3] and np.diff(starts).tolist() == [6, 3, 0] and len(words) == 9
+    assert [x.tolist() for x in chaining._runs(starts, 3)] == [[0, 1, 2, 3, 6], [0, 0, 0, 0, 1]]  # none across documents
