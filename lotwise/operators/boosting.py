@@ -1,8 +1,10 @@
 """Boosted trees by histograms of gradients.
 
-Features are cut into quantile bins once and the binned rows are written to the shared folder: a byte a feature. A level
-of a tree is one pass over those rows: tasks find the open node of each row and add up gradients, second derivatives and
-rows by (node, feature, bin), for the smaller one of two children, the other is the difference from their parent; the sums meet in one grouped sum of nodes x features x bins rows, whatever the number of rows.
+Features are cut into quantile bins once and the binned rows are written to the shared folder: a byte a feature. The rows that a
+tree is fitted on are kept with their gradients and second derivatives while it grows (in memory, else on disk). A level of the tree is one
+pass over them, a job of one stage: tasks find the open node of each row and add up both and the
+rows by (node, feature, bin), for the smaller one of two children, the other is the difference from their parent. A task returns nodes x
+features x bins sums, whatever its number of rows; those of many tasks are added up by tasks first.
 The driver holds the model and those sums alone. Sums are of integers (gradients in fixed steps), so a model depends
 neither on partitions nor on the order of rows.
 
@@ -11,7 +13,7 @@ best split first until ``max_leaves`` (a node's best split does not depend on ot
 Missing values have a bin of their own, and each split sends them to the side that gains more.
 
 The first pass of a tree also measures the trees before it on the validation rows, so a fit ends by itself after
-``patience`` trees without a better one. Margins are written every ``KEPT_TREES`` trees; passes walk only the trees since then.
+``patience`` trees without a better one. Margins are written every ``KEPT_TREES`` trees; a tree walks only the trees since then.
 """
 
 from __future__ import annotations
@@ -24,17 +26,19 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from lotwise.operators.quantiles import quantile_table
+from lotwise.operators.quantiles import GROUP_LIMIT, large_quantiles, quantile_table
 from lotwise.session import settings, shared_folder
 from lotwise.spec import FocalParams
 
-KEPT_TREES = 4
+KEPT_TREES = 8
 ARROW_ROWS = 50_000  # a batch: few calls a pass, and its columns still fit a core's cache
+DRIVER_PARTS = 64  # sums that the driver adds up itself
 SMALL = 1e-6  # a margin that changes no score
 SCORE_STEPS = 4096  # of the scores that validation counts
 LEAF = -1
@@ -245,70 +249,85 @@ def _with_margins(trees: list[Tree], width: int, bins: int):
     return run
 
 
-@dataclass
-class _Ask:
-    """What one pass adds up: the open nodes of a tree under way, and the validation rows if ``checking``."""
+PACKED = "n int, y binary, checked binary, pick binary, x binary, margin binary"
 
-    number: int
-    trees: list[Tree]
-    tree: Tree | None
-    open_nodes: list[int]
-    features: list[int]
-    checking: bool
 
+def _packed(width: int):
+    """A row a batch, as it is kept between passes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                y, checked, *rest = _read(batch, width)
+                columns = [pa.array([c.tobytes()], pa.binary()) for c in (y.astype(np.int8), checked.astype(bool), *rest)]
+                yield pa.RecordBatch.from_arrays([pa.array([len(y)], pa.int32()), *columns], names=["n", "y", "checked", "pick", "x", "margin"])
 
-SUMS = "node int, feature int, bin int, g long, h long, n long"
+    return run
 
 
-def _sums(ask: _Ask, p: BoostParams, width: int, scale: float, positive: float):
-    """One row for each (node, feature, bin) that a task has seen. Node -1 holds the validation rows by step of the score:
-    positives, then all, and under feature -2 their loss."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = p.bins + 1
-        total = np.zeros((3, len(ask.features), len(ask.open_nodes) * cells), dtype=np.int64)
-        steps, loss, n_checked = np.zeros((2, SCORE_STEPS), dtype=np.int64), 0, 0
-        slot = np.full(len(ask.tree.feature) if ask.tree else 1, -1)
-        slot[ask.open_nodes] = np.arange(len(ask.open_nodes))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            y, checked, pick, x, margin = _read(batch, width)
-            for t in ask.trees:
+def _gradients(number: int, since: list[Tree], checking: bool, p: BoostParams, width: int, scale: float, positive: float):
+    """Of each batch the rows that a tree is fitted on, with their gradients in fixed steps. If ``checking``, a part without
+    rows tells a task's validation rows: positives and all by step of the score, then their loss and number."""
+    def run(parts: Iterator) -> Iterator[tuple]:
+        steps, rest = np.zeros((2, SCORE_STEPS), dtype=np.int64), np.zeros(2, dtype=np.int64)
+        for n, *packed in parts:
+            y, checked, pick, x, margin = (np.frombuffer(c, dtype=kind) for c, kind in zip(packed, (np.int8, bool, np.int64, np.uint8, np.float64), strict=True))
+            x = x.reshape(n, width)
+            used = ~checked & drawn(pick, number, p.rows)
+            if not checking and not used.all():
+                y, x, margin, used = y[used], x[used], margin[used], used[used]
+            for t in since:
                 margin = margin + t.value[t.binned_nodes(x, p.bins)]
             weight = np.where(y == 1, positive, 1.0)
-            if ask.checking and checked.any():
+            if checking and checked.any():
                 step = np.minimum((_sigmoid(margin[checked]) * SCORE_STEPS).astype(np.int64), SCORE_STEPS - 1)
                 steps[0] += np.bincount(step, weights=y[checked], minlength=SCORE_STEPS).astype(np.int64)
                 steps[1] += np.bincount(step, minlength=SCORE_STEPS)
-                loss += int(np.rint(losses(y[checked], margin[checked], p) * weight[checked] * scale).astype(np.int64).sum())
-                n_checked += int(checked.sum())
-            if not ask.open_nodes:
+                rest += np.rint(losses(y[checked], margin[checked], p) * weight[checked] * scale).astype(np.int64).sum(), checked.sum()
+            yield (x[used], *(np.rint(d * weight[used] * scale) for d in derivatives(y[used], margin[used], p)))
+        if checking:
+            yield (np.concatenate([steps.ravel(), rest]),)
+
+    return run
+
+
+def _sums(tree: Tree | None, open_nodes: list[int], features: list[int], checking: bool, p: BoostParams):
+    """One array a task: gradients, second derivatives and rows by feature, open node and bin, then the validation rows if ``checking``."""
+    def run(rows: Iterator) -> Iterator[np.ndarray]:
+        cells = p.bins + 1
+        total = np.zeros((3, len(features), len(open_nodes) * cells), dtype=np.int64)
+        checks = np.zeros(2 * SCORE_STEPS + 2 if checking else 0, dtype=np.int64)
+        slot = np.full(len(tree.feature) if tree else 1, -1)
+        slot[open_nodes] = np.arange(len(open_nodes))
+        for part in rows:
+            if len(part) == 1:
+                checks += part[0] if checking else 0
                 continue
-            used = ~checked & drawn(pick, ask.number, p.rows)
-            if ask.tree is not None:
-                place = slot[ask.tree.binned_nodes(x, p.bins)]
-                used &= place >= 0
-            else:
-                place = np.zeros(len(y), dtype=np.int64)
-            x, place = x[used], place[used]
-            g, h = (np.rint(d * weight[used] * scale) for d in derivatives(y[used], margin[used], p))
-            for i, f in enumerate(ask.features):
-                cell = place * cells + x[:, f]
+            if not open_nodes:
+                continue
+            x, g, h = part
+            first = np.zeros(len(x), dtype=np.int64)
+            if tree is not None:
+                place = slot[tree.binned_nodes(x, p.bins)]
+                mine = np.flatnonzero(place >= 0)
+                x, g, h, first = x[mine], g[mine], h[mine], place[mine] * cells
+            for i, f in enumerate(features):
+                cell = first + x[:, f]
                 for row, weights in zip(total[:, i], (g, h, None), strict=True):
                     row += np.bincount(cell, weights=weights, minlength=total.shape[2]).astype(np.int64)
-        feature, cell = np.nonzero(total[2])
-        nodes = np.array(ask.open_nodes)[cell // cells] if len(cell) else cell
-        out = [(nodes, np.array(ask.features)[feature] if len(cell) else cell, cell % cells, *total[:, feature, cell])]
-        if n_checked:
-            seen = np.flatnonzero(steps[1])
-            out.append((np.full(len(seen), -1), np.full(len(seen), -1), seen, steps[0, seen], np.zeros(len(seen)), steps[1, seen]))
-            out.append(tuple(np.array([v]) for v in (-1, -2, 0, loss, 0, n_checked)))
-        columns = [np.concatenate(c).astype(np.int32 if i < 3 else np.int64) for i, c in enumerate(zip(*out, strict=True))]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "feature", "bin", "g", "h", "n"])
+        yield np.concatenate([total.ravel(), checks])
 
     return run
 
 
+def _kept(parts: RDD) -> RDD:
+    """In memory, else on disk; what is lost is made again from the shared folder."""
+    return parts.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _added_up(sums: RDD) -> np.ndarray:
+    return sums.treeReduce(np.add) if sums.getNumPartitions() > DRIVER_PARTS else sum(sums.collect())
+
+
 # --- splits ------------------------------------------------------------------------------------------
 
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
@@ -451,7 +470,8 @@ class _Grower:
 
 def bin_edges(df: DataFrame, columns: Sequence[str], bins: int) -> list[np.ndarray]:
     """Distinct quantiles of each column at multiples of 1 / bins; a value's bin is the number of edges at or below it."""
-    points = quantile_table(df, columns, [i / bins for i in range(1, bins)])
+    probs = [i / bins for i in range(1, bins)]
+    points = (quantile_table if df.count() <= GROUP_LIMIT else large_quantiles)(df, columns, probs)
     return [np.unique(np.array(points.get(c, []), dtype=float)) for c in columns]
 
 
@@ -491,37 +511,37 @@ def _fit(df: DataFrame, columns: Sequence[str], label: str, key: Sequence[str],
     scale = 2.0 ** min(24, 38 - math.ceil(math.log2(max(positive, 1.0))), 61 - math.ceil(math.log2(max(sum(weights), 1.0))))
     model = Boosted(columns, start, [])
     rows = _stored(rows.withColumn("margin", F.lit(start)))
+    packed = _kept(rows.mapInArrow(_packed(len(columns)), PACKED).rdd.map(tuple))
     since: list[Tree] = []
     random = np.random.default_rng(p.seed)
-
-    def ask(question: _Ask) -> pd.DataFrame:
-        seen = rows.mapInArrow(_sums(question, p, len(columns), scale, positive), SUMS)
-        return seen.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toPandas()
-
     for number in range(p.trees + 1):
         chosen = sorted(random.choice(len(columns), max(1, round(p.features * len(columns))), replace=False).tolist())
         last = number == p.trees
+        measured = checking and number > 0
+        if last and not measured:
+            break
+        drawn_rows = _kept(packed.mapPartitions(_gradients(number, since, measured, p, len(columns), scale, positive)))
         grower = _Grower(chosen, edges, p, scale)
         open_nodes, counted, partial = [0], [0], None
         histograms: dict[int, np.ndarray] = {}
         for depth in range(1 if last else p.depth):
             numbers = grower.numbers() if grower.sums else {0: 0}
-            measured = checking and depth == 0 and number > 0
-            if last and not measured:
-                break
-            found = ask(_Ask(number, since, partial, [] if last else [numbers[i] for i in counted], chosen, measured))
-            if measured:
-                model.history.append(_measure(found, p, scale))
+            asked = [] if last else [numbers[i] for i in counted]
+            sums = _added_up(drawn_rows.mapPartitions(_sums(partial, asked, chosen, measured and depth == 0, p)))
+            cells = 3 * len(chosen) * len(asked) * (p.bins + 1)
+            if measured and depth == 0:
+                model.history.append(_measure(sums[cells:], p, scale))
                 last = last or len(model.history) >= kept_trees(model.history, p) + p.patience
             if last:
                 break
-            by_node = _histograms(found, [numbers[i] for i in counted], chosen, p.bins)
-            histograms = grower.completed({i: by_node[numbers[i]] for i in counted}, open_nodes, histograms)
+            by_node = sums[:cells].reshape(3, len(chosen), len(asked), p.bins + 1)
+            histograms = grower.completed({i: by_node[:, :, at] for at, i in enumerate(counted)}, open_nodes, histograms)
             open_nodes = [c for i in open_nodes for c in grower.searched(i, histograms[i]) if grower.worth_searching(c)]
             counted = grower.to_count(open_nodes)
             if not open_nodes:
                 break
             partial = grower.tree()
+        drawn_rows.unpersist()
         if last:
             break
         tree = grower.tree(grower.pruned())
@@ -531,6 +551,9 @@ def _fit(df: DataFrame, columns: Sequence[str], label: str, key: Sequence[str],
         since.append(tree)
         if len(since) == KEPT_TREES:
             rows, since = _stored(rows.mapInArrow(_with_margins(since, len(columns), p.bins), BINNED)), []
+            packed.unpersist()
+            packed = _kept(rows.mapInArrow(_packed(len(columns)), PACKED).rdd.map(tuple))
+    packed.unpersist()
     if model.history:
         model.trees = model.trees[:kept_trees(model.history, p)]
     return model
@@ -542,21 +565,11 @@ def kept_trees(history: Sequence[float], p: BoostParams) -> int:
     return list(history).index(best) + 1
 
 
-def _measure(found: pd.DataFrame, p: BoostParams, scale: float) -> float:
-    own = found[found["node"] == -1]
+def _measure(checks: np.ndarray, p: BoostParams, scale: float) -> float:
+    steps, (loss, n) = checks[:-2].reshape(2, -1), checks[-2:].tolist()
     if p.metric == "loss":
-        whole = own[own["feature"] == -2]
-        return float(whole["g"].sum() / scale / max(whole["n"].sum(), 1))
-    steps = own[own["feature"] == -1].sort_values("bin")
-    return binned_average_precision(steps["g"].to_numpy(), steps["n"].to_numpy())
-
-
-def _histograms(found: pd.DataFrame, nodes: list[int], features: list[int], bins: int) -> dict[int, np.ndarray]:
-    place = {f: i for i, f in enumerate(features)}
-    out = {i: np.zeros((3, len(features), bins + 1), dtype=np.int64) for i in nodes}
-    for node, part in found[found["node"] >= 0].groupby("node"):
-        out[node][:, part["feature"].map(place), part["bin"]] = part[["g", "h", "n"]].to_numpy().T
-    return out
+        return loss / scale / max(n, 1)
+    return binned_average_precision(*steps[:, steps[1] > 0])
 
 
 def _stored(df: DataFrame) -> DataFrame:

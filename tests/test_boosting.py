@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import losses as columns
 from lotwise.operators import boosting as B
+from lotwise.operators import quantiles
 
 
 def rows_of(n=400, seed=1, features=3):
@@ -217,3 +218,28 @@ def test_passes_count_the_smaller_child_and_walk_bins_by_table():
     parts = {i: counted(np.flatnonzero(at == number[i])) for i in opened}
     whole = grower.completed({asked[0]: parts[asked[0]]}, opened, {0: everything})
     assert all((whole[i] == parts[i]).all() for i in opened)
+
+
+def test_a_pass_is_one_job_of_one_stage(spark):
+    """Levels of a tree neither plan a query nor exchange rows."""
+    x, y = rows_of(300, 5)
+    df, context, jobs = frame(spark, x, y), spark.sparkContext, {}
+    for trees in (2, 5):
+        context.setJobGroup(f"boosted-{trees}", "")
+        assert len(B.fit(df, ["f0", "f1", "f2"], "y", ["id"], p=B.BoostParams(trees=trees, bins=16, depth=3)).trees) == trees
+        jobs[trees] = context.statusTracker().getJobIdsForGroup(f"boosted-{trees}")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs[5]) - len(jobs[2]) <= 3 * 3
+
+
+def test_edges_of_large_columns_equal_the_quantiles(spark):
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=9000), np.round(rng.exponential(size=9000), 1), rng.integers(0, 2, 9000), np.full(9000, np.nan), np.where(rng.random(9000) < 0.01, np.inf, -0.0)])
+    x[rng.random(x.shape) < 0.1] = np.nan
+    df = frame(spark, np.sort(x, axis=0), np.zeros(9000, dtype=int))
+    columns = [f"f{i}" for i in range(5)]
+    few, many = (quantiles.quantile_table(df, columns, [i / 64 for i in range(1, 64)], group_limit=n) for n in (10, 10_000))
+    got = quantiles.large_quantiles(df, columns, [i / 64 for i in range(1, 64)], 500)
+    assert sorted(got) == sorted(few) == ["f0", "f1", "f2", "f4"]
+    for c in got:
+        assert got[c] == few[c] == pytest.approx(many[c], nan_ok=True)
