@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.columns import edge_bin, join_same, long_form, normal_cdf, same_key, weighted_class, width_bin
 from lotwise.operators.quantiles import quantile_table
-from lotwise.operators.running import running_totals
+from lotwise.operators.running import cut_into_ranges, running_totals
+from lotwise.session import stored
 from lotwise.spec import DriftThresholds
 
 QUANTILE, WIDTH = "quantile", "width"
@@ -393,21 +394,35 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, features: Sequence[s
 def ks_by_group(reference: DataFrame, current: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(by, feature, n_reference, n_current, ks_statistic, ks_pvalue): every group of ``current`` against the same reference.
 
-    The reference is ranked once. Between two values of a group its own distribution stands still, so the largest gap
-    is at one of its values or just before it, and the reference need not be repeated for each group.
+    Both sides are counted per distinct value, which reads them once, and the counts are written down. One pass over value ranges
+    then ranks all groups and the reference: each range begins with a row for every group that holds what lies before it.
+    Between two values of a group its own distribution stands still, so the largest gap is at one of its values or just before
+    it, and the reference need not be repeated for each group.
     """
     by, keys = list(by), [*by, "feature"]
+    known = long_form(reference, features).groupBy("feature", "value").agg(F.count("*").alias("ref"))
     own = long_form(current, features, by).groupBy(*keys, "value").agg(F.count("*").alias("cur"))
-    known = long_form(reference, features).withColumn("ref", F.lit(1)).select("feature", "value", "ref").unionByName(
-        own.select("feature", "value", F.lit(0).alias("ref")))
-    ranked = running_totals(known.groupBy("feature", "value").agg(F.sum("ref").alias("ref")), "value", {"ref_upto": "ref"}, ["feature"])
-    n_ref = long_form(reference, features).groupBy("feature").agg(F.count("*").alias("n_reference"))
-    n_own = own.groupBy(*keys).agg(F.sum("cur").alias("n_current"))
-    mine = running_totals(own, "value", {"cur_upto": "cur"}, keys)
-    joined = join_same(join_same(join_same(mine, ranked, ["feature", "value"]), n_own, keys), n_ref, ["feature"])
+    none = F.lit(None)
+    sides = own.select(F.lit(True).alias("mine"), *keys, "value", F.lit(0).cast("long").alias("ref"), "cur").unionByName(
+        known.select(F.lit(False).alias("mine"), *[none.cast(own.schema[c].dataType).alias(c) for c in by], "feature", "value", "ref", F.lit(0).cast("long").alias("cur")))
+    counted = cut_into_ranges(stored(sides, "ks"), "value")
+    rows = counted.withColumn("n", none.cast("long"))
+    for mine, group, count in ((False, ["feature"], "ref"), (True, keys, "cur")):
+        totals = (counted.where("mine") if mine else counted).groupBy(*group, "_range").agg(F.sum(count).alias("total"))
+        so_far = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        told = {"mine": F.lit(mine), count: F.coalesce(F.sum("total").over(so_far), F.lit(0)), "n": F.sum("total").over(Window.partitionBy(*group))}
+        rows = rows.unionByName(totals.select(*group, "_range", *[c.alias(k) for k, c in told.items()], *[
+            (F.lit(0) if c in ("ref", "cur") else none).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in {*group, "_range", *told}]))
+    here, group = Window.partitionBy("feature", "_range"), Window.partitionBy("feature", "_range", "mine", *by)
+    upto = Window.unboundedPreceding, Window.currentRow
+    ranked = rows.select(
+        "*", F.sum("ref").over(here.orderBy("value").rangeBetween(*upto)).alias("ref_upto"), F.max(F.when(~F.col("mine"), F.col("n"))).over(here).alias("n_reference"),
+        F.sum("ref").over(Window.partitionBy("feature", "_range", "value")).alias("ref_here"),
+        F.sum("cur").over(group.orderBy("value").rowsBetween(*upto)).alias("cur_upto"), F.max("n").over(group).alias("n_current"),
+    ).where("mine AND value IS NOT NULL AND n_reference > 0")
     r, c = F.col("ref_upto") / F.col("n_reference"), F.col("cur_upto") / F.col("n_current")
-    before = (F.col("ref_upto") - F.col("ref")) / F.col("n_reference") - (F.col("cur_upto") - F.col("cur")) / F.col("n_current")
-    out = joined.groupBy(*keys, "n_reference", "n_current").agg(F.max(F.greatest(F.abs(r - c), F.abs(before))).alias("ks_statistic"))
+    before = (F.col("ref_upto") - F.col("ref_here")) / F.col("n_reference") - (F.col("cur_upto") - F.col("cur")) / F.col("n_current")
+    out = ranked.groupBy(*keys, "n_reference", "n_current").agg(F.max(F.greatest(F.abs(r - c), F.abs(before))).alias("ks_statistic"))
     return out.withColumn("ks_pvalue", kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
 
 

@@ -35,10 +35,7 @@ def running_totals(
     if n <= rows_per_bucket or not edges:
         w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
-    splits = [-float("inf"), *edges, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
-        df.withColumn("_order", F.col(order).cast("double"))
-    ).drop("_order")
+    ranged = _in_ranges(df, order, edges)
     keys = [*by, "_range"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{o}") for o, s in sums.items()])
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,6 +51,20 @@ def running_totals(
     )
 
 
+def cut_into_ranges(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Adds ``_range``, the number of a value range of a numeric column that holds about ``rows_per_bucket`` rows."""
+    return _in_ranges(df, order, _range_edges(df, order, rows_per_bucket)[1])
+
+
+def _in_ranges(df: DataFrame, order: str, edges: list[float]) -> DataFrame:
+    splits = [-float("inf"), *edges, float("inf")]
+    if not edges:
+        return df.withColumn("_range", F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
+        df.withColumn("_order", F.col(order).cast("double"))
+    ).drop("_order")
+
+
 def _range_edges(df: DataFrame, order: str, rows_per_bucket: int) -> tuple[int, list[float]]:
     n = df.count()
     wanted = min(MAX_BUCKETS, -(-n // rows_per_bucket))

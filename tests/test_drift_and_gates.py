@@ -1,12 +1,13 @@
 """Drift, gates and lifecycle: published behaviour, golden replay and hand-made traps."""
 
 import datetime
+import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import drift, lifecycle
+from lotwise.operators import drift, lifecycle, running
 from lotwise.spec import DriftThresholds, RetrainPolicy
 
 # Critical and warning counts of days 9 to 40 of the published run.
@@ -125,3 +126,31 @@ def test_early_stop_and_window(spark):
     assert (r["best_epoch"], r["best_value"], r["stop_epoch"]) == (2, 0.3, 14)
     w = lifecycle.training_windows(spark.createDataFrame([(5,), (30,)], "day_number int")).orderBy("retrain_day").collect()
     assert [(x["start_day"], x["end_day"]) for x in w] == [(1, 5), (16, 30)]
+
+
+def test_grouped_ks_reads_each_side_once(spark, monkeypatch):
+    """Against the empirical distributions, with ties, infinities, features that a side lacks and ranges without reference values."""
+    rng = np.random.default_rng(4)
+    sides = {}
+    for side, n in (("ref", 300), ("cur", 400)):
+        x = np.round(rng.normal(size=(n, 4)) + (side == "cur") * 0.3, 1)
+        x[rng.random(x.shape) < 0.1] = np.nan
+        x[:3, 0] = np.inf, -np.inf, 0.0
+        x[:, 2 if side == "ref" else 3] = np.nan
+        x[:, 1] += 9 * (side == "cur") * (rng.random(n) < 0.5)
+        sides[side] = [(int(i % 3) if i % 7 else None, *[None if math.isnan(v) else float(v) for v in row]) for i, row in enumerate(x)]
+    reference, current = (spark.createDataFrame(sides[s], "day int, a double, b double, c double, d double") for s in ("ref", "cur"))
+    want = {}
+    for day in (0, 1, 2, None):
+        for i, f in enumerate("abcd", 1):
+            r, c = (np.sort([x[i] for x in sides[s] if x[i] is not None and (s == "ref" or x[0] == day)]) for s in ("ref", "cur"))
+            if len(r) and len(c):
+                at = np.concatenate([r, c])
+                want[day, f] = len(r), len(c), float(np.abs(np.searchsorted(r, at, "right") / len(r) - np.searchsorted(c, at, "right") / len(c)).max())
+    for most in (500_000, 20):
+        monkeypatch.setattr(running.cut_into_ranges, "__defaults__", (most,))
+        out = drift.ks_by_group(reference, current, list("abcd"), ["day"])
+        got = {(x.day, x.feature): (x.n_reference, x.n_current, x.ks_statistic) for x in out.collect()}
+        assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+        assert all(got[k][2] == pytest.approx(want[k][2]) for k in want)
+        assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()  # the counts alone are read
